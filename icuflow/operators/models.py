@@ -29,7 +29,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.operators.prep import bootstrap, hash_split
@@ -126,6 +126,23 @@ def split_mse(df: DataFrame, estimator: Estimator, key: str, fraction: float = 0
     return scored.agg(F.count(F.lit(1)).alias("n_test"), F.avg(gap * gap).alias("mse"))
 
 
+def majority_vote(forest_model, df: DataFrame, out: str = "vote") -> DataFrame:
+    """The class most trees of a fitted forest predict; equal votes go to the smaller class."""
+    names = []
+    voted = df
+    for i, tree in enumerate(forest_model.trees):
+        name = f"_tree_{i}"
+        single = tree.setPredictionCol(name).setProbabilityCol("").setRawPredictionCol("")
+        voted = single.transform(voted)
+        names.append(F.col(name))
+    votes = F.array(*names)
+    counted = F.transform(
+        F.sequence(F.lit(0), F.lit(forest_model.numClasses - 1)),
+        lambda c: F.struct(F.size(F.filter(votes, lambda v: v == c)).alias("n"), (-c).alias("c")),
+    )
+    return voted.select(*df.columns, (-F.array_max(counted)["c"]).cast("int").alias(out))
+
+
 def cross_validate(
     df: DataFrame,
     estimator: Estimator,
@@ -230,6 +247,3 @@ def simple_regression(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) ->
         F.regr_intercept(y, x).alias("intercept"),
     )
 
-
-def best_label(probability: str | Column) -> Column:
-    return vector_to_array(probability)[1]
