@@ -1,8 +1,10 @@
 """Order-dependent operators that do not put all rows of one key into one task.
 
-A plain window sorts every row of a key in a single task. Where the rows per key have no
-bound, the operators here range-partition by (keys, order) instead, so a hot key is cut
-into many pieces, and hand the little that crosses a border from piece to piece:
+A plain window sorts every row of a key in a single task. The operators here count the rows
+per key first (a partial aggregate over the key columns alone). If no key exceeds TASK_ROWS
+the plain window is used. Otherwise the rows are range-partitioned by (keys, order), so a hot
+key is cut into many pieces, and the little that crosses a border is handed from piece to
+piece:
 
 * running totals and last-known values: one carry per piece;
 * lags, leads and row frames: a halo of the few rows next to the border;
@@ -21,10 +23,30 @@ from pyspark.sql import functions as F
 
 from icuflow.session import stable
 
+# The most rows of one key that a single task is given to sort.
+TASK_ROWS = 2_000_000
+
 PIECE, ROW, POSITION = "_piece", "_row", "_position"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
+def fits_one_task(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Whether the largest key (or the whole frame, without keys) has at most `limit` rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.agg(F.max("n")).first()[0] or 0
+    return largest <= (TASK_ROWS if limit is None else limit)
+
+
+def _number(df: DataFrame, by: Sequence, pieces: int | None) -> DataFrame:
+    """Rows sorted by `by` in range partitions, with their piece and a number rising within it."""
+    count = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stable(
+        df.repartitionByRange(count, *by)
+        .sortWithinPartitions(*by)
+        .withColumn(ROW, F.monotonically_increasing_id())
+    ).withColumn(PIECE, F.shiftright(ROW, _ROW_BITS))
+
+
 class Layout(NamedTuple):
     """Rows in total order: `rows` has `_piece` and the 0-based global `_position`."""
 
@@ -33,14 +55,8 @@ class Layout(NamedTuple):
 
 
 def lay_out(df: DataFrame, order: Sequence, keys: Sequence[str] = (), pieces: int | None = None) -> Layout:
-    """Sort by (keys, order) in range partitions and number the rows."""
-    count = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [*keys, *order]
-    numbered = stable(
-        df.repartitionByRange(count, *by)
-        .sortWithinPartitions(*by)
-        .withColumn(ROW, F.monotonically_increasing_id())
-    ).withColumn(PIECE, F.shiftright(ROW, _ROW_BITS))
+    """Sort by (keys, order) in range partitions and give each row its global position."""
+    numbered = _number(df, [*keys, *order], pieces)
     earlier = Window.orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
         numbered.groupBy(PIECE)
@@ -70,25 +86,31 @@ def running(
     latest: Mapping[str, Column] | None = None,
     pieces: int | None = None,
 ) -> DataFrame:
-    """Running sums (`totals`) and last non-null values (`latest`) per key, current row included."""
+    """Running sums (`totals`) and last non-null values (`latest`) per key, current row included.
+
+    `order` must be total within the keys. `pieces` forces the range-partitioned way.
+    """
     totals, latest = dict(totals or {}), dict(latest or {})
-    rows, _ = lay_out(df, order, keys, pieces)
-    so_far = (
-        Window.partitionBy(PIECE, *keys).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    key = F.struct(*keys) if keys else F.lit(0)
-    partial = rows.withColumn("_key", key).withColumns(
-        {
+
+    def columns(window: WindowSpec) -> dict[str, Column]:
+        so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+        return {
             **{n: F.sum(F.coalesce(c, F.lit(0))).over(so_far) for n, c in totals.items()},
             **{n: F.last(c, ignorenulls=True).over(so_far) for n, c in latest.items()},
         }
-    )
+
+    if pieces is None and fits_one_task(df, keys):
+        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
+
+    key = F.struct(*keys) if keys else F.lit(0)
+    rows = _number(df, [*keys, *order], pieces).withColumn("_key", key)
+    partial = rows.withColumns(columns(Window.partitionBy(PIECE, *keys).orderBy(ROW)))
 
     # One row per piece: its first and last key, and what its last key has come to.
     edges = partial.groupBy(PIECE).agg(
-        F.min_by("_key", POSITION).alias("_first"),
-        F.max_by("_key", POSITION).alias("_last"),
-        *[F.max_by(n, POSITION).alias(f"_end_{n}") for n in (*totals, *latest)],
+        F.min_by("_key", ROW).alias("_first"),
+        F.max_by("_key", ROW).alias("_last"),
+        *[F.max_by(n, ROW).alias(f"_end_{n}") for n in (*totals, *latest)],
     )
     same_key = Window.partitionBy("_last").orderBy(PIECE).rowsBetween(Window.unboundedPreceding, 0)
     edges = edges.withColumns(
@@ -109,7 +131,10 @@ def running(
     )
 
     joined = partial.join(F.broadcast(carries), PIECE)
-    carried = {n: F.when(F.col("_key").eqNullSafe(F.col("_first")), F.col(f"_carry_{n}")) for n in (*totals, *latest)}
+    carried = {
+        n: F.when(F.col("_key").eqNullSafe(F.col("_first")), F.col(f"_carry_{n}"))
+        for n in (*totals, *latest)
+    }
     return joined.withColumns(
         {
             **{n: F.col(n) + F.coalesce(carried[n], F.lit(0)) for n in totals},
@@ -129,9 +154,13 @@ def over_neighbours(
 ) -> DataFrame:
     """Window columns that look at most `before` rows back and `after` rows ahead.
 
-    `order` must be total within the keys. Each piece gets copies of the rows just outside
-    its borders, the window runs per piece, and the copies are dropped again.
+    `order` must be total within the keys. In the range-partitioned way each piece gets
+    copies of the rows just outside its borders, the window runs per piece, and the copies
+    are dropped again.
     """
+    if pieces is None and fits_one_task(df, keys):
+        return df.withColumns(dict(make(Window.partitionBy(*keys).orderBy(*order))))
+
     rows, sizes = lay_out(df, order, keys, pieces)
     end = F.col("_start") + F.col("_size")
     spans = []
@@ -159,15 +188,25 @@ def over_neighbours(
     )
 
 
-def ranks(df: DataFrame, keys: Sequence[str], by: Sequence[str], out: str = "rank", dense: bool = False) -> DataFrame:
+def ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    out: str = "rank",
+    dense: bool = False,
+    pieces: int | None = None,
+) -> DataFrame:
     """RANK / DENSE_RANK of each row in its key; ties share a rank.
 
-    Ranks are taken over the distinct (key, order) values with their row counts, so a tie
-    of any size is one row in the ordered part.
+    In the range-partitioned way ranks are taken over the distinct (key, order) values with
+    their row counts, so a tie of any size is one row in the ordered part.
     """
+    if pieces is None and fits_one_task(df, keys):
+        window = Window.partitionBy(*keys).orderBy(*by)
+        return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(window))
     distinct = df.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("_n"))
     step = F.lit(1) if dense else F.col("_n")
-    ranked = running(distinct, by, keys, totals={"_upto": step}).withColumn(
+    ranked = running(distinct, by, keys, totals={"_upto": step}, pieces=pieces).withColumn(
         out, (F.col("_upto") - step + 1).cast("int")
     )
     return null_safe_join(df, ranked.select(*keys, *by, out), [*keys, *by])

@@ -8,7 +8,7 @@ from math import pi, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from icuflow.operators.ordered import null_safe_join, running
+from icuflow.operators.ordered import fits_one_task, null_safe_join, running
 from icuflow.session import small
 
 # A quantile sketch of this accuracy is wrong by at most n / ACCURACY ranks; the bracket put
@@ -30,16 +30,27 @@ def ranked_values(
     near: Sequence[float],
     wanted: Mapping[str, Column],
     groups: Sequence[str] = (),
+    sketched: bool | None = None,
 ) -> DataFrame:
-    """Exact values at 0-based sorted positions, per group, without sorting the data.
+    """Exact values at 0-based sorted positions, per group.
 
     `wanted` gives each position as an expression over the group's non-null count `_n`;
-    `near` the fractions those positions lie close to. A mergeable sketch proposes narrow
-    brackets around the positions, an exact count per bracket finds the one each position
-    falls in, and only the distinct values inside those brackets are sorted. The result does
-    not depend on the sketch, only the amount of work does, and no group is gathered whole.
+    `near` the fractions those positions lie close to. Groups that fit one task are sorted.
+    Beyond that (or with sketched=True) nothing is sorted whole: a mergeable sketch proposes
+    narrow brackets around the positions, an exact count per bracket finds the one each
+    position falls in, and only the distinct values inside those brackets are ordered. The
+    result does not depend on the sketch, only the amount of work does.
     """
     data = df.select(*groups, F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
+    if not sketched and (sketched is False or fits_one_task(data, groups)):
+        whole = Window.partitionBy(*groups)
+        placed = data.withColumns(
+            {"_at": F.row_number().over(whole.orderBy("_v")) - 1, "_n": F.count(F.lit(1)).over(whole)}
+        )
+        return placed.groupBy(*groups).agg(
+            F.first("_n").alias("_n"),
+            *[F.max(F.when(F.col("_at") == k, F.col("_v"))).alias(name) for name, k in wanted.items()],
+        )
     fractions = sorted({min(max(p + d, 0.0), 1.0) for p in near for d in (-MARGIN, MARGIN)})
     sketch = data.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -77,14 +88,20 @@ def ranked_values(
     )
 
 
-def quantiles(df: DataFrame, column: str, probs: Mapping[str, float], groups: Sequence[str] = ()) -> DataFrame:
+def quantiles(
+    df: DataFrame,
+    column: str,
+    probs: Mapping[str, float],
+    groups: Sequence[str] = (),
+    sketched: bool | None = None,
+) -> DataFrame:
     """Exact linearly interpolated quantiles, one column per name, with the count `n`."""
     last = F.col("_n") - 1
     wanted = {}
     for name, p in probs.items():
         wanted[f"_lo_{name}"] = F.floor(last * F.lit(float(p)))
         wanted[f"_hi_{name}"] = F.ceil(last * F.lit(float(p)))
-    found = ranked_values(df, column, list(probs.values()), wanted, groups)
+    found = ranked_values(df, column, list(probs.values()), wanted, groups, sketched)
     out = []
     for name, p in probs.items():
         low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
