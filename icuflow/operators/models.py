@@ -68,8 +68,19 @@ def least_squares() -> LinearRegression:
     return LinearRegression(regParam=0.0, solver="normal")
 
 
-def ridge(n: int, tau: float = 1.0) -> LinearRegression:
-    return LinearRegression(regParam=tau / n, elasticNetParam=0.0, standardization=False, solver="normal")
+def ridge(n: int, deviation: float, tau: float = 1.0) -> LinearRegression:
+    """Squared error plus `tau` times the squared weights.
+
+    MLlib divides its penalty by the rows and by the label's (population) deviation, which is
+    undone here; see `label_scale`.
+    """
+    return LinearRegression(regParam=tau * deviation / n, elasticNetParam=0.0, standardization=False, solver="normal")
+
+
+def label_scale(df: DataFrame, label: str = "label") -> tuple[int, float]:
+    """Row count and population deviation of the label, for `ridge`."""
+    row = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
+    return int(row["n"]), float(row["s"] or 0.0)
 
 
 def prepared(columns: Sequence[str], estimator: Estimator, nominal: int = 0) -> Pipeline:

@@ -125,8 +125,8 @@ def fit_ols(t):
 def fit_ridge(t):
     rows = t.lineitem.select("l_quantity", F.col("l_extendedprice").alias("label"))
     made = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(rows)
-    n = rows.count()
-    fitted = models.ridge(n).fit(made)
+    n, deviation = models.label_scale(rows)
+    fitted = models.ridge(n, deviation).fit(made)
     return t.spark.createDataFrame(
         [(n, round(float(fitted.coefficients[0]), 3), round(float(fitted.intercept), 3))], "n long, slope double, intercept double"
     )
@@ -135,7 +135,7 @@ def fit_ridge(t):
 @query()
 def fit_rff_ridge(t):
     rows = stable(models.fourier_features(vectors(t).drop("features"), "embedding", DIMS, width=15))
-    return result(models.split_mse(rows, models.ridge(rows.count()), "vec_id"))
+    return result(models.split_mse(rows, models.ridge(*models.label_scale(rows)), "vec_id"))
 
 
 @query()
@@ -158,7 +158,7 @@ def cv_mse(t):
     rows = stable(prep.kfold(order_features(t), "o_orderkey", 5))
     columns = ["quantity", "price", "lines"]
     found = []
-    for name, estimator in (("least_squares", models.least_squares()), ("ridge", models.ridge(rows.count()))):
+    for name, estimator in (("least_squares", models.least_squares()), ("ridge", models.ridge(*models.label_scale(rows)))):
         scores, _ = models.cross_validate(rows, models.prepared(columns, estimator), "fold", 5, metric="mse")
         found += [(name, r["mean"], r["deviation"]) for r in scores]
     return t.spark.createDataFrame(found, "model string, mse double, deviation double")
