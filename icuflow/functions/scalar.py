@@ -131,6 +131,11 @@ def drop_after(df: DataFrame, ts: str, event: str) -> DataFrame:
     return df.filter(F.col(event).isNull() | (F.col(ts) <= F.col(event)))
 
 
+def overwrite_after(ts: str, event: str, value: str, number: float = 0.0) -> Column:
+    """`number` for rows later than their entity's event, else the value."""
+    return F.when(F.col(ts) > F.col(event), F.lit(number)).otherwise(F.col(value))
+
+
 def select_matching(df: DataFrame, pattern: str, without: Sequence[str] = ()) -> DataFrame:
     """Columns whose whole name matches a regex, minus the listed ones."""
     return df.select(df.colRegex(f"`{pattern}`")).drop(*without)

@@ -173,17 +173,21 @@ def left_vs_inner(t):
 
 
 @query(
-    """WITH per AS (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey)
-    SELECT a.o_orderkey AS stay, b.o_orderkey AS other, per.quantity
-    FROM (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT') a
-    JOIN orders b ON b.o_custkey = a.o_custkey JOIN per ON per.l_orderkey = b.o_orderkey"""
+    """WITH per AS (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey),
+    first AS (SELECT o_custkey, o_orderkey AS stay FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+      FROM orders) x WHERE rn = 1)
+    SELECT first.stay, b.o_orderkey AS other, per.quantity FROM first JOIN orders b ON b.o_custkey = first.o_custkey
+    JOIN per ON per.l_orderkey = b.o_orderkey"""
 )
 def coarse_key_join(t):
-    # The stay's own key is deliberately left out, so every stay meets its subject's others.
+    # The stay's own key is left out, so the subject's first stay meets all its admissions' rows.
+    # One stay per subject on the left: the result has one row per right-hand row.
     per = t.lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
-    urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey", F.col("o_orderkey").alias("stay"))
+    keyed = t.orders.select("o_custkey", "o_orderdate", "o_orderkey")
+    first = windows.first_events(keyed, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    first = first.select("o_custkey", F.col("o_orderkey").alias("stay"))
     others = t.orders.select("o_custkey", F.col("o_orderkey").alias("other"))
-    return urgent.join(others, "o_custkey").join(per, F.col("other") == F.col("l_orderkey")).select("stay", "other", "quantity")
+    return others.join(per, F.col("other") == F.col("l_orderkey")).join(first, "o_custkey").select("stay", "other", "quantity")
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.functions import items, scalar as fn
-from icuflow.operators import cohort, pivot, score, series, windows
+from icuflow.operators import cohort, pivot, prep, score, series, windows
 
 STAY = ["subject_id", "hadm_id", "icustay_id"]
 
@@ -160,16 +160,28 @@ def vitals_timestamped(stays: DataFrame, chart: DataFrame) -> DataFrame:
     )
 
 
-def admission_vitals(stays: DataFrame, chart: DataFrame, first_day: bool = False) -> DataFrame:
-    """min/max/mean of the vital labels without validity checks, over the whole stay or its first day."""
-    rows = chart.filter(F.col("itemid").isin(*items.codes(items.VITALS)))
-    rows = _clean(rows).select(*STAY, "charttime", items.fuse(F.col("itemid"), items.VITALS).alias("label"), "valuenum")
+BASIC_VITALS = ("heartrate", "meanbp", "resprate")
+BASIC_LABS = ("bilirubin", "creatinine", "hemoglobin", "sodium", "wbc")
+
+
+def admission_vitals(
+    admissions: DataFrame, stays: DataFrame, chart: DataFrame, first_day: bool = False, labels: Sequence[str] = BASIC_VITALS
+) -> DataFrame:
+    """min/max per admission of vital signs as charted: no validity check, errors included.
+
+    Covers the whole admission; first_day=True keeps only the first day of each stay, which
+    is what the name "first day vitals" promises. Admissions without any have a row of NULLs.
+    """
+    rules = [r for r in items.VITALS if r.label in labels]
+    rows = chart.filter(F.col("itemid").isin(*items.codes(rules))).select(
+        "hadm_id", "icustay_id", "charttime", items.fuse(F.col("itemid"), rules).alias("label"), "valuenum"
+    )
     if first_day:
         rows = windows.events_in_window(
-            stays.select(*STAY, "intime"), rows, STAY, "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day")
+            stays.select("icustay_id", "intime"), rows, ["icustay_id"], "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day")
         )
-    wide = pivot.pivot_stats(rows, ["icustay_id"], "label", "valuenum", items.labels(items.VITALS))
-    return stays.select(*STAY).join(wide, "icustay_id", "left")
+    wide = pivot.pivot_stats(rows, ["hadm_id"], "label", "valuenum", list(labels), ("min", "max"))
+    return admissions.select("hadm_id").join(wide, "hadm_id", "left")
 
 
 def cohort_table(t: Mapping[str, DataFrame], per: str = "stay", min_los_days: float = 1) -> DataFrame:
@@ -210,6 +222,60 @@ def feature_table(t: Mapping[str, DataFrame], views: Mapping[str, DataFrame] | N
     )
 
 
+def basic_feature_table(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The small per-stay table: vitals, plain coma score, five labs without caps, cohort columns.
+
+    Every stay with a patient and an admission has a row.
+    """
+    stays = t["icustays"]
+    uncapped = tuple(items.Rule(r.label, r.items, 0) for r in items.LABS if r.label in BASIC_LABS)
+    vitals = vitals_first_day(stays, t["chartevents"]).drop("glucose_min", "glucose_max", "glucose_mean")
+    people = cohort.cohort_base(stays, t["patients"], t["admissions"])
+    return assemble(
+        people.drop("icu_intime", "dod_hosp", "admission_type"),
+        [vitals, gcs_plain(stays, t["chartevents"]), labs_first_day(stays, t["labevents"], uncapped)],
+    )
+
+
+def cohort_with_admission_vitals(t: Mapping[str, DataFrame], min_los_days: float = 2) -> DataFrame:
+    """Selected cohort with the vitals of its admission, joined on the admission.
+
+    The selection keeps first stays, so each cohort row meets the rows of one admission.
+    """
+    chosen = cohort.select_cohort(cohort_table(t, min_los_days=min_los_days))
+    return chosen.join(admission_vitals(t["admissions"], t["icustays"], t["chartevents"]), "hadm_id", "left")
+
+
+def cohort_with_stay_vitals(t: Mapping[str, DataFrame], min_los_days: float = 1) -> DataFrame:
+    """Selected cohort with first-day vitals joined on the admission instead of the stay.
+
+    A cohort row repeats for every stay of its admission that has vitals.
+    """
+    chosen = cohort.select_cohort(cohort_table(t, min_los_days=min_los_days))
+    vitals = vitals_first_day(t["icustays"], t["chartevents"]).drop("subject_id", "icustay_id")
+    return chosen.join(vitals, "hadm_id", "left")
+
+
+def model_frame(
+    table: DataFrame,
+    features: Sequence[str],
+    outcomes: Sequence[str],
+    nominal: Sequence[str] = ("gender", "first_careunit", "admission_type"),
+    impute: str = "features",
+    key: str = "icustay_id",
+) -> DataFrame:
+    """From a feature table to numbers: codes for categories, cohort filter, age cap, imputation.
+
+    impute='features' leaves the outcomes alone; 'all' fills them with their mean too.
+    """
+    for name in nominal:
+        table = fn.category_codes(table, name)
+    kept = cohort.select_cohort(table).withColumn("age_icu_in", fn.cap_age("age_icu_in"))
+    numbers = [*features, *outcomes]
+    rows = kept.select(key, *[F.col(c).cast("double").alias(c) for c in numbers])
+    return prep.mean_impute(rows, numbers if impute == "all" else features)
+
+
 def timeseries_table(t: Mapping[str, DataFrame], per: str = "stay", scope: str = "stay") -> DataFrame:
     """Hourly series with demographics and outcome labels relative to each hour.
 

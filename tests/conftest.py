@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="4",
+        spark__default__parallelism="2",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),

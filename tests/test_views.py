@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from icuflow.functions import items, scalar as fn
 from icuflow.operators import cohort, pivot, score, series, windows
-from icuflow.plans import views
+from icuflow.plans import reports, views
 
 
 def by(df, key, *columns):
@@ -371,8 +371,88 @@ def test_timeseries_table(clinic):
         assert r["dead"] <= r["dead_in_1d"] <= r["dead_in_7d"] <= r["dead_in_30d"]
 
 
-def test_whole_admission_and_first_day_variants(stay, chart):
-    events = chart((1, 211, 1, 80.0), (1, 211, 40, 500.0))
-    whole = views.admission_vitals(stay((1, 0)), events).first()
-    day = views.admission_vitals(stay((1, 0)), events, first_day=True).first()
-    assert (whole["heartrate_max"], day["heartrate_max"]) == (500.0, 80.0)
+def test_whole_admission_and_first_day_variants(stay, chart, visits):
+    events = chart((1, 211, 1, 80.0), (1, 211, 40, 500.0, None, 1))
+    admitted = visits((1, 1, 0, 99), (2, 2, 0, 99))
+    whole = by(views.admission_vitals(admitted, stay((1, 0)), events), "hadm_id", "heartrate_max")
+    day = by(views.admission_vitals(admitted, stay((1, 0)), events, first_day=True), "hadm_id", "heartrate_max")
+    assert (whole, day) == ({1: 500.0, 2: None}, {1: 80.0, 2: None})
+
+
+def test_basic_table_keeps_every_stay_and_large_values(clinic, lab):
+    clinic["labevents"] = lab((1, 50912, 1, 500.0), (1, 50885, 1, 2.0))
+    rows = {r["icustay_id"]: r for r in views.basic_feature_table(clinic).collect()}
+    assert (rows[1]["creatinine_max"], rows[1]["gcs_min"], rows[1]["heartrate_mean"]) == (500.0, 15.0, 85.0)
+    assert (rows[2]["creatinine_max"], rows[2]["gcs_min"], rows[2]["heartrate_mean"]) == (None, None, 60.0)
+
+
+def test_admission_level_join_repeats_rows(table, clinic, stay, chart):
+    clinic["icustays"] = stay((1, 0, 1, 1), (3, 40, 1, 1), (2, 0, 2, 2))
+    first = clinic["chartevents"].filter("icustay_id = 1")
+    second = first.withColumn("icustay_id", F.lit(3).cast("long")).withColumn("charttime", fn.shift("charttime", "40 hours"))
+    clinic["chartevents"] = first.unionByName(second)
+    assert views.cohort_with_stay_vitals(clinic).filter("hadm_id = 1").count() == 2
+    assert views.cohort_with_admission_vitals(clinic).filter("hadm_id = 1").count() == 1
+
+
+def test_model_frame(clinic):
+    table = views.feature_table(clinic)
+    got = views.model_frame(table, ["age_icu_in", "gender", "heartrate_mean", "creatinine_max"], ["icu_expire_flag"])
+    rows = {r["icustay_id"]: r for r in got.collect()}
+    assert rows[2]["creatinine_max"] == 1.0 and rows[1]["gender"] == 0.0
+    assert {r["icu_expire_flag"] for r in rows.values()} == {0.0, 1.0}
+
+
+def test_overwrite_after(spark):
+    rows = spark.createDataFrame([(1, at(0), at(1), 5.0), (2, at(2), at(1), 5.0), (3, at(2), None, 5.0)], "id int, ts timestamp_ntz, e timestamp_ntz, v double")
+    assert by(rows.withColumn("v", fn.overwrite_after("ts", "e", "v")), "id", "v") == {1: 5.0, 2: 0.0, 3: 5.0}
+
+
+# --- reports ------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def dictionary(table):
+    rows = [{"itemid": 211, "label": "Heart Rate"}, {"itemid": 40055, "label": "Urine Out Foley"}, {"itemid": 50912, "label": "Creatinine"}]
+    return {"d_items": table("d_items", *rows[:2]), "d_labitems": table("d_labitems", rows[2])}
+
+
+def test_single_stay_reports(clinic, dictionary, chart):
+    t = {**clinic, **dictionary}
+    t["chartevents"] = chart((1, 211, 1.5, 80.0, "80", 0), (1, 211, 2, 90.0, "90", 1), (1, 211, 3, 95.0), (2, 211, 1, 50.0, "50", 0))
+    rows = reports.stay_chart(t, 1).collect()
+    assert [(r["label"], r["valuenum"], r["icu_hours"]) for r in rows] == [("Heart Rate", 80.0, 1.5)]
+    assert reports.stay_outputs(t, 1).first()["value"] == 300.0
+    assert [(r["label"], r["valuenum"]) for r in reports.stay_labs(t, 1).collect()] == [("Creatinine", 1.0)]
+    assert reports.stay_admission(t, 1).first()["first_careunit"] == "MICU"
+
+
+def test_observations_per_admission(clinic):
+    row = reports.observations_per_admission(clinic["chartevents"]).first()
+    assert (row["avg_obs"], row["avg_variable"]) == (3.0, 2.5)
+
+
+def test_diagnosis_ages(table, people, visits):
+    t = {
+        "diagnoses_icd": table("diagnoses_icd", *[{"subject_id": s, "icd9_code": c} for s, c in ((1, "4010"), (1, "4019"), (2, "4011"), (3, "5000"))]),
+        "patients": people(*[(s, at(days=-365.25 * age), None) for s, age in ((1, 20.5), (2, 95), (3, 50))]),
+        "admissions": visits((1, 1, 0, 9), (1, 2, 9000, 9009), (2, 3, 0, 9), (3, 4, 0, 9)),
+    }
+    assert reports.diagnosed(t["diagnoses_icd"], "401").first()["patients"] == 2
+    bands = reports.diagnosis_age_bands(t, "401").first().asDict()
+    assert (bands["total"], bands["from_16_to_21"], bands["from_91"]) == (2, 1, 1)
+
+
+def test_first_lab_by_outcome(table, clinic, lab, visits):
+    t = dict(clinic)
+    t["labevents"] = lab((1, 50868, 2, 12.0), (1, 50868, 2, 14.0), (1, 50868, 5, 30.0))
+    t["admissions"] = t["admissions"].withColumn("deathtime", F.when(F.col("hadm_id") == 1, F.lit(at(3)).cast("timestamp_ntz")))
+    got = by(reports.first_lab(t, "aniongap"), "icustay_id", "mort_icu", "mort_hosp", "aniongap_1st")
+    assert got == {1: (1, 1, 14.0), 2: (0, 0, None)}
+
+
+def test_heart_rate_of_one_admission(stay, chart):
+    events = chart((1, 211, 0.1, 80.0), (1, 211, 0.2, 80.0), (1, 211, 0.3, 100.0), (1, 211, 1, 60.0), (1, 220045, 1, 10.0), (2, 211, 0, 50.0))
+    rows = {r["timestamp"]: r for r in reports.heart_rate_series({"icustays": stay((1, 0), (2, 0)), "chartevents": events}, 1).collect()}
+    assert set(rows) == {at(0), at(1)}
+    assert (rows[at(1)]["hr"], rows[at(1)]["hr_1h"], rows[at(1)]["hr_median_6h"]) == (60.0, 90.0, 75.0)
