@@ -67,15 +67,16 @@ def latest_service(
     the rows returned.
     """
     cut = stays.select("hadm_id", "icustay_id", fn.shift("intime", grace).alias("_cut"))
-    moves = services.select("hadm_id", "transfertime", "curr_service").filter("transfertime IS NOT NULL").distinct()
+    rows = services.select("hadm_id", "transfertime", "curr_service").filter("transfertime IS NOT NULL")
+    moves = rows.distinct()
     if per == "stay":
-        timed = latest_before(cut, moves, ["hadm_id"], "_cut", "transfertime", "_at")
+        timed = latest_before(cut, rows, ["hadm_id"], "_cut", "transfertime", "_at")
         named = moves.withColumnRenamed("transfertime", "_at")
         return timed.join(named, ["hadm_id", "_at"], "left").select("hadm_id", "icustay_id", "curr_service")
 
     bounds = cut.groupBy("hadm_id").agg(F.min("_cut").alias("_first_cut"), F.max("_cut").alias("_last_cut"))
     seen = (
-        moves.join(bounds, "hadm_id")
+        rows.join(bounds, "hadm_id")
         .filter(F.col("transfertime") < F.col("_last_cut"))
         .groupBy("hadm_id")
         .agg(F.min("transfertime").alias("_earliest"), F.max("transfertime").alias("_at"))

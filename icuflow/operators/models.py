@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -28,7 +30,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,31 +162,43 @@ def cross_validate(
     k: int,
     metric: str = "areaUnderROC",
     grid: Sequence[Mapping] | None = None,
-    parallelism: int = 2,
-) -> tuple[list[dict], object]:
-    """Mean and deviation of the metric over given folds for every grid cell, and the best model."""
+    parallelism: int = 4,
+) -> list[dict]:
+    """Per grid cell: the metric on every fold, its mean and deviation.
+
+    Folds come from a column, so they can be stratified and repeated. Each fold trains on the
+    rows outside it; `parallelism` folds submit their jobs at a time. `df` should be a stored
+    frame, as it is read once per fit.
+    """
     if metric in ("areaUnderROC", "areaUnderPR"):
         evaluator = BinaryClassificationEvaluator(metricName=metric, numBins=0)
     else:
         evaluator = RegressionEvaluator(metricName=metric)
-    cells = list(grid) if grid else ParamGridBuilder().build()
-    fitted = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=cells,
-        evaluator=evaluator,
-        numFolds=k,
-        foldCol=folds,
-        parallelism=parallelism,
-    ).fit(df)
-    rows = [
-        {
-            "params": {p.name: v for p, v in cell.items()},
-            "mean": float(fitted.avgMetrics[i]),
-            "deviation": float(fitted.stdMetrics[i]),
-        }
-        for i, cell in enumerate(cells)
-    ]
-    return rows, fitted.bestModel
+    cells = list(grid) if grid else [{}]
+
+    def one_fold(i: int) -> list[float]:
+        train, test = df.filter(F.col(folds) != i), df.filter(F.col(folds) == i)
+        return [float(evaluator.evaluate(estimator.fit(train, cell).transform(test))) for cell in cells]
+
+    with ThreadPool(parallelism) as pool:
+        per_fold = pool.map(inheritable_thread_target(df.sparkSession)(one_fold), range(k))
+    found = []
+    for cell, values in zip(cells, zip(*per_fold)):
+        found.append(
+            {
+                "params": {p.name: v for p, v in cell.items()},
+                "folds": list(values),
+                "mean": float(np.mean(values)),
+                "deviation": float(np.std(values)),
+            }
+        )
+    return found
+
+
+def best_fit(df: DataFrame, estimator: Estimator, found: Sequence[Mapping], larger_is_better: bool = True):
+    """The estimator fitted on all rows with the parameters of the best grid cell."""
+    best = (max if larger_is_better else min)(found, key=lambda r: r["mean"])
+    return estimator.fit(df, {estimator.getParam(n): v for n, v in best["params"].items()})
 
 
 def repeated_auroc(df: DataFrame, estimator: Estimator, key: str, size: int, seeds: Sequence[int]) -> list[dict]:

@@ -267,9 +267,9 @@ def latest_before(
     ).unionByName(
         right.select(*keys, F.col(time).alias("_at"), F.col(time).alias("_seen"))
         .filter(F.col("_at").isNotNull())
-        .dropDuplicates()
         .withColumn("_side", F.lit(second)),
         allowMissingColumns=True,
     )
+    # Rows equal in (time, side) may come in any order: the carried value is the same.
     carried = running(stream, ["_at", "_side"], keys, latest={out: F.col("_seen")}, pieces=pieces)
     return carried.filter(F.col("_side") == first).select(*left.columns, out)

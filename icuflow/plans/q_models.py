@@ -149,7 +149,7 @@ def score_rows(t):
 @query()
 def cv_auc(t):
     rows = stable(prep.stratified_folds(doc_features(t), "label", "doc_id", 10))
-    found, _ = models.cross_validate(rows, models.prepared(DOC_COLUMNS, models.l2_logistic(rows.count())), "fold", 10)
+    found = models.cross_validate(rows, models.prepared(DOC_COLUMNS, models.l2_logistic(rows.count())), "fold", 10)
     return t.spark.createDataFrame([(r["mean"], r["deviation"]) for r in found], "auroc double, deviation double")
 
 
@@ -159,7 +159,7 @@ def cv_mse(t):
     columns = ["quantity", "price", "lines"]
     found = []
     for name, estimator in (("least_squares", models.least_squares()), ("ridge", models.ridge(*models.label_scale(rows)))):
-        scores, _ = models.cross_validate(rows, models.prepared(columns, estimator), "fold", 5, metric="mse")
+        scores = models.cross_validate(rows, models.prepared(columns, estimator), "fold", 5, metric="mse")
         found += [(name, r["mean"], r["deviation"]) for r in scores]
     return t.spark.createDataFrame(found, "model string, mse double, deviation double")
 
@@ -170,7 +170,7 @@ def grid_search(t):
     n = rows.count()
     estimator = models.l2_logistic(n)
     grid = ParamGridBuilder().addGrid(estimator.regParam, [1 / (c * n) for c in (0.01, 0.1, 1.0)]).build()
-    found, _ = models.cross_validate(rows, estimator, "fold", 3, grid=grid)
+    found = models.cross_validate(rows, estimator, "fold", 3, grid=grid)
     return t.spark.createDataFrame([(1 / (r["params"]["regParam"] * n), r["mean"], r["deviation"]) for r in found], "c double, auroc double, deviation double")
 
 

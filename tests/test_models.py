@@ -85,8 +85,10 @@ def test_cross_validation_and_grid(blobs):
     folded = prep.stratified_folds(blobs, "label", "id", 3)
     estimator = models.l2_logistic(400)
     grid = ParamGridBuilder().addGrid(estimator.regParam, [0.01, 1.0]).build()
-    found, best = models.cross_validate(folded, estimator, "fold", 3, grid=grid)
-    assert len(found) == 2 and all(0.9 < r["mean"] <= 1.0 for r in found) and best is not None
+    found = models.cross_validate(folded, estimator, "fold", 3, grid=grid)
+    assert len(found) == 2 and all(0.9 < r["mean"] <= 1.0 and len(r["folds"]) == 3 for r in found)
+    best = max(found, key=lambda r: r["mean"])
+    assert models.best_fit(folded, estimator, found).getRegParam() == best["params"]["regParam"]
 
 
 def test_regression_and_ridge(spark):
