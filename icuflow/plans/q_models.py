@@ -174,7 +174,13 @@ def grid_search(t):
     return t.spark.createDataFrame([(1 / (r["params"]["regParam"] * n), r["mean"], r["deviation"]) for r in found], "c double, auroc double, deviation double")
 
 
-@query()
+@query(
+    """WITH x AS (SELECT vec_id, label >= 5 AS y, i, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) r(i)),
+    g AS (SELECT i, y, count(*) AS n, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY i, y),
+    f AS (SELECT i, (sum(s * s / n) - sum(s) * sum(s) / sum(n)) / ((sum(q) - sum(s * s / n)) / (sum(n) - 2)) AS f FROM g GROUP BY i),
+    top AS (SELECT i FROM f ORDER BY f DESC LIMIT 10)
+    SELECT vec_id, count(*)::INTEGER AS kept, round(sum(v), 6) AS total FROM x WHERE i IN (SELECT i FROM top) GROUP BY vec_id"""
+)
 def select_features(t):
     fitted = models.select_features(vectors(t), 10)
     chosen = fitted.transform(vectors(t)).select("vec_id", vector_to_array("selected").alias("v"))
