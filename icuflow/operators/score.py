@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from icuflow.functions.scalar import shift
+from icuflow.operators.ordered import over_neighbours
 
 
 def component_sum(df: DataFrame, by: Sequence[str], parts: Sequence[str], out: str = "score") -> DataFrame:
@@ -34,12 +35,14 @@ def carry_forward(
     both sides takes its `normal` value. `tube` is the component whose value 0 means
     "cannot be assessed": the score is then `full`, as it is when the component is missing
     now and was 0 before; after such a row nothing is carried over.
-    One row per key and charted time inside a day-long window, so a key's rows are few and a
-    plain window serves.
+    Expects one row per key and time.
     """
-    window = Window.partitionBy(*by).orderBy(time)
-    recent = F.lag(time).over(window) > shift(time, f"-{memory}")
-    with_previous = df.withColumns({f"{p}_prev": F.when(recent, F.lag(p).over(window)) for p in normal})
+
+    def previous_row(window: WindowSpec) -> dict:
+        recent = F.lag(time).over(window) > shift(time, f"-{memory}")
+        return {f"{p}_prev": F.when(recent, F.lag(p).over(window)) for p in normal}
+
+    with_previous = over_neighbours(df, [time], previous_row, by, before=1)
 
     def summed(sources):
         total = None

@@ -160,7 +160,8 @@ def histogram_by_group(df: DataFrame, value: str, group: str, bins: int = 50) ->
 def kde_grid(df: DataFrame, value: str, group: str, points: int = 50) -> DataFrame:
     """Gaussian kernel density per group on an even grid half a range beyond the data.
 
-    Bandwidth n^(-1/5) times the sample deviation. Each row adds to every grid point, and the
+    Bandwidth n^(-1/5) times the sample deviation; a group without spread has no density
+    (NULL). Each row adds to every grid point, and the
     sums are built map-side, so only (group, point) partials are shuffled.
     """
     v = F.col(value).cast("double")
@@ -185,12 +186,12 @@ def kde_grid(df: DataFrame, value: str, group: str, points: int = 50) -> DataFra
         ).alias("_grid"),
     )
     each = _attach(data, grid, [group]).select(group, "_n", "_h", "_x", F.explode("_grid").alias("_g"))
-    bump = F.exp(-F.pow((F.col("_x") - F.col("_g.at")) / F.col("_h"), 2) / 2)
+    bump = F.exp(-F.pow(F.try_divide(F.col("_x") - F.col("_g.at"), F.col("_h")), 2) / 2)
     summed = each.groupBy(group, F.col("_g.point").alias("point")).agg(
         F.first("_g.at").alias("at"), F.sum(bump).alias("_sum"), F.first("_n").alias("_n"), F.first("_h").alias("_h")
     )
     return summed.select(
-        group, "point", "at", (F.col("_sum") / (F.col("_n") * F.col("_h") * sqrt(2 * pi))).alias("density")
+        group, "point", "at", F.try_divide("_sum", F.col("_n") * F.col("_h") * sqrt(2 * pi)).alias("density")
     )
 
 
@@ -211,7 +212,8 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 def ks_two_sample(df: DataFrame, value: str, group: str, first, second) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value, one row.
 
-    Both distribution functions are running totals over the distinct values.
+    Both distribution functions are running totals over the distinct values. An empty sample
+    gives NULL.
     """
     one, two = F.col(group) == first, F.col(group) == second
     counts = (
@@ -220,17 +222,15 @@ def ks_two_sample(df: DataFrame, value: str, group: str, first, second) -> DataF
         .agg(F.count(F.when(one, 1)).alias("_a"), F.count(F.when(two, 1)).alias("_b"))
     )
     steps = running(counts, ["_v"], totals={"_ca": F.col("_a"), "_cb": F.col("_b")})
-    # Both totals are only known at the end, so keep the few counts that can give the extremes:
-    # the gap at a step is |ca/na - cb/nb|.
     sizes = counts.agg(F.sum("_a").alias("na"), F.sum("_b").alias("nb"))
     na, nb = sizes.select("na").scalar(), sizes.select("nb").scalar()
     gaps = steps.withColumns({"na": na, "nb": nb}).agg(
-        F.max(F.abs(F.col("_ca") / F.col("na") - F.col("_cb") / F.col("nb"))).alias("statistic"),
+        F.max(F.abs(F.try_divide("_ca", "na") - F.try_divide("_cb", "nb"))).alias("statistic"),
         F.first("na").alias("n_first"),
         F.first("nb").alias("n_second"),
     )
-    en = F.sqrt(F.col("n_first") * F.col("n_second") / (F.col("n_first") + F.col("n_second")))
-    z = (en + 0.12 + F.lit(0.11) / en) * F.col("statistic")
+    en = F.sqrt(F.try_divide(F.col("n_first") * F.col("n_second"), F.col("n_first") + F.col("n_second")))
+    z = (en + 0.12 + F.try_divide(F.lit(0.11), en)) * F.col("statistic")
     tail = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)),
         F.lit(0.0),
@@ -238,7 +238,7 @@ def ks_two_sample(df: DataFrame, value: str, group: str, first, second) -> DataF
         + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.exp(F.lit(-2.0) * k * k * z * z),
     )
     # Below z = 0.2 the probability is 1 to double precision and the series converges slowly.
-    p = F.when(z < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * tail)))
+    p = F.when(z < 0.2, F.lit(1.0)).when(z >= 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * tail)))
     return gaps.withColumn("p_value", p)
 
 

@@ -51,10 +51,10 @@ def range_join(
     hot key spreads over its buckets. Take a bucket near the usual window length.
     """
     width = bucket * 1_000_000
-    w = windows.withColumn(
+    w = windows.filter(F.col(start) <= F.col(end)).withColumn(
         "_bucket",
         F.explode(F.sequence(F.floor(micros(start) / width), F.floor(micros(end) / width))),
-    ).filter(F.col(start) <= F.col(end))
+    )
     e = events.withColumn("_bucket", F.floor(micros(time) / width))
     shared = [*keys, "_bucket"]
     return w.join(e, shared).filter(within(time, start, end)).drop("_bucket")

@@ -101,6 +101,17 @@ def test_ks_of_identical_samples(spark):
     assert (got["statistic"], got["p_value"]) == (0.0, 1.0)
 
 
+def test_ks_of_an_empty_sample_is_unknown(spark):
+    got = stats.ks_two_sample(samples(spark, [1, 2, 3], []), "v", "g", "a", "b").first()
+    assert (got["statistic"], got["p_value"], got["n_second"]) == (None, None, 0)
+
+
+def test_kde_without_spread_is_unknown(spark):
+    got = stats.kde_grid(samples(spark, [2, 2, 2], [1, 2]), "v", "g", 5).collect()
+    assert {r["density"] for r in got if r["g"] == "a"} == {None}
+    assert all(r["density"] > 0 for r in got if r["g"] == "b")
+
+
 def test_skew_is_bias_corrected(spark):
     frame = samples(spark, [1, 2, 9], [1, 2])
     got = {r["g"]: r["s"] for r in frame.groupBy("g").agg(stats.corrected_skew(F.col("v")).alias("s")).collect()}
