@@ -206,7 +206,7 @@ def recode_label(t):
 @query(
     """SELECT p_type, count(CASE WHEN p_name LIKE '%ring' THEN 1 END) AS n_suffix,
     count(CASE WHEN p_brand LIKE 'Brand#1%' THEN 1 END) AS n_prefix,
-    sum(CASE WHEN p_name LIKE '%ring' THEN 1 WHEN p_brand IN ('Brand#2') THEN 1 ELSE 0 END) AS n_surgical
+    sum(CASE WHEN p_name LIKE '%ring' THEN 1 WHEN p_brand IN ('Brand#2') THEN 1 ELSE 0 END)::BIGINT AS n_surgical
     FROM part GROUP BY p_type"""
 )
 def like_flags(t):
