@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
 from icuflow.functions.items import SURGICAL_SERVICES, SURGICAL_SUFFIX
-from icuflow.operators.ordered import latest_before, null_safe_join, ranks
+from icuflow.operators.ordered import latest_before, ranks
 from icuflow.operators.stats import quantiles
 
 EXCLUSIONS = ("exclusion_los", "exclusion_age", "exclusion_first_stay", "exclusion_surgical")
@@ -150,8 +150,3 @@ def cohort_summary(
     for name, column in medians.items():
         result = result.withColumn(name, quantiles(df, column, {name: 0.5}).select(name).scalar())
     return result.drop("_k")
-
-
-def attach(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join on a NULL-safe key, right key columns dropped."""
-    return null_safe_join(left, right, on, "left")

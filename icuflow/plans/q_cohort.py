@@ -8,7 +8,7 @@ from icuflow.functions import items, scalar as fn
 from icuflow.operators import cohort, pivot, score, windows
 from icuflow.plans import views
 from icuflow.plans.bindings import (
-    ADM, DAY, DEATH, ICU, LABEL, OBS, PAT, RULES, ST, SVC, TYPES,
+    ADM, DAY, DEATH, ICU, OBS, PAT, ST, SVC, TYPES,
     admissions, days, deaths, icustays, observations, patients, stays, transfers, with_,
 )
 from icuflow.plans.q_tables import PIVOT_SQL, first_day, first_day_vitals, rounded
@@ -325,7 +325,12 @@ LAB_COLUMNS = ", ".join(f"{f}(CASE WHEN curr_service = '{s}' THEN v END) AS {s.l
 
 
 @query(
-    with_(ICU, SVC, f"near AS (SELECT icu.icustay_id, curr_service, CASE WHEN value > 40 THEN NULL ELSE value END AS v FROM icu LEFT JOIN svc ON svc.hadm_id = icu.hadm_id AND {NEAR} AND value > 5)")
+    with_(
+        ICU,
+        SVC,
+        f"""near AS (SELECT icu.icustay_id, curr_service, CASE WHEN value > 40 THEN NULL ELSE value END AS v
+        FROM icu LEFT JOIN svc ON svc.hadm_id = icu.hadm_id AND {NEAR} AND value > 5)""",
+    )
     + f" SELECT icustay_id, {LAB_COLUMNS} FROM near GROUP BY icustay_id"
 )
 def lab_pivot(t):
@@ -433,6 +438,3 @@ def feature_table(t):
     urine = pivot.signed_sum(rows, ["user_id"], F.col("event_type") == "error", "value", "output")
     vitals = pivot.pivot_stats(rows, ["user_id"], "label", "converted", TYPES)
     return rounded(views.assemble(base_columns, [vitals, urine, lowest, codes, vent, unit], "user_id"), keep=("icu_los",))
-
-
-__all__ = ["components", "LABEL", "RULES"]

@@ -113,7 +113,11 @@ def grouped_quantiles(t):
 
 
 @query(
-    with_(DOCS, "long AS (UNPIVOT (SELECT quality, n_chars::DOUBLE AS n_chars, length(lang)::DOUBLE + doc_id % 10 AS extra FROM docs) ON n_chars, extra INTO NAME feature VALUE value)")
+    with_(
+        DOCS,
+        """long AS (UNPIVOT (SELECT quality, n_chars::DOUBLE AS n_chars, length(lang)::DOUBLE + doc_id % 10 AS extra FROM docs)
+        ON n_chars, extra INTO NAME feature VALUE value)""",
+    )
     + """ SELECT feature, quality, count(value) AS n, round(median(value), 6) AS median, round(var_samp(value), 4) AS variance,
     round(skewness(value), 6) AS skew, round(quantile_cont(value, 0.99), 6) AS q99 FROM long GROUP BY feature, quality"""
 )
@@ -123,7 +127,11 @@ def outcome_stats(t):
     return rounded(found.withColumn("variance", F.round("variance", 4)), keep=("variance",))
 
 
-@query(with_(LABELLED, HOURLY) + " SELECT count(click) AS click, count(view) AS view, count(error) AS error, count(purchase) AS purchase, count(signup) AS signup FROM hr")
+@query(
+    with_(LABELLED, HOURLY)
+    + """ SELECT count(click) AS click, count(view) AS view, count(error) AS error, count(purchase) AS purchase,
+    count(signup) AS signup FROM hr"""
+)
 def nonnull_counts(t):
     return stats.nonnull_counts(hours(t), ["click", "view", "error", "purchase", "signup"])
 
@@ -133,7 +141,10 @@ def top_labels(t):
     return stats.top_values(observations(t), "code", 5)
 
 
-@query("SELECT round(avg(l_quantity), 6) AS l_quantity, round(avg(l_extendedprice), 4) AS l_extendedprice, round(avg(l_discount), 6) AS l_discount, round(avg(l_tax), 6) AS l_tax, min(l_quantity) AS lowest FROM lineitem")
+@query(
+    """SELECT round(avg(l_quantity), 6) AS l_quantity, round(avg(l_extendedprice), 4) AS l_extendedprice,
+    round(avg(l_discount), 6) AS l_discount, round(avg(l_tax), 6) AS l_tax, min(l_quantity) AS lowest FROM lineitem"""
+)
 def column_means(t):
     means = [F.round(F.avg(c), p).alias(c) for c, p in (("l_quantity", 6), ("l_extendedprice", 4), ("l_discount", 6), ("l_tax", 6))]
     return t.lineitem.agg(*means, F.min("l_quantity").alias("lowest"))
@@ -381,6 +392,3 @@ def baseline_random(t):
 def baseline_mean(t):
     found = metrics.mse(metrics.mean_guess(t.orders.select("o_totalprice"), "o_totalprice"), "guess", "o_totalprice")
     return found.select("n", F.round(F.col("mse") / 1e6, 4).alias("mse"))
-
-
-

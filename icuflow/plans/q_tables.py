@@ -11,7 +11,7 @@ from icuflow.functions import items, scalar as fn
 from icuflow.operators import pivot, windows
 from icuflow.plans.bindings import (
     ADM, CONVERTED, DAY, DEATH, ICU, LABEL, OBS, PAT, RULES, ST, TYPES,
-    admissions, days, deaths, icustays, observations, patients, stays, with_,
+    admissions, deaths, icustays, observations, patients, stays, with_,
 )
 from icuflow.plans.registry import query
 from icuflow.session import shared_dir
@@ -329,6 +329,3 @@ SEGMENT = "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END"
 def category_codes(t):
     segment = F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("segment")
     return fn.category_codes(t.customer.select("c_custkey", segment), "segment", "code")
-
-
-__all__ = ["first_day", "first_day_vitals", "rounded", "scratch", "days"]

@@ -214,3 +214,18 @@ def test_hash_split_and_kfold_need_no_shuffle(spark):
     assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
     counts = {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()}
     assert sum(counts.values()) == 1000 and 400 < counts["train"] < 600
+
+
+def test_sample_by_label(spark):
+    frame = spark.range(2000).select("id", (F.col("id") % 2).cast("int").alias("y"))
+    kept = {r["y"]: r["count"] for r in prep.sample_fraction(frame, "y", {0: 0.2, 1: 1.0}, seed=1).groupBy("y").count().collect()}
+    assert kept[1] == 1000 and 140 < kept[0] < 260
+
+
+def test_dictionary_as_a_table(spark):
+    from icuflow.functions import items
+
+    book = items.as_frame(spark, items.VITALS)
+    row = book.filter("item = '678'").first()
+    assert (row["label"], row["lo"], row["hi"], row["offset"], row["scale"]) == ("tempc", 70.0, 120.0, 32.0, 1.8)
+    assert book.count() == len(items.codes(items.VITALS))
