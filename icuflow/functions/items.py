@@ -80,8 +80,12 @@ def convert(item: Column, value: Column, rules: Sequence[Rule]) -> Column:
 
 def as_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """The dictionary as a table, one row per item code (for label joins and reports)."""
+
+    def number(x):
+        return None if x is None else float(x)
+
     rows = [
-        (str(i), r.label, r.lo, r.lo_closed, r.hi, r.hi_closed, r.offset, r.scale)
+        (str(i), r.label, number(r.lo), r.lo_closed, number(r.hi), r.hi_closed, r.offset, r.scale)
         for r in rules
         for i in r.items
     ]
