@@ -49,3 +49,15 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     taken = {n.lower() for n in names}
     clash = [c for c in df.columns if c.lower() in taken]
     return df.drop(*clash) if clash else df
+
+
+#: What names a row where documents are joined with something derived from them: rows equal in both are equal in all
+#: that is derived, so a repeated row gets the same result.
+ROW = ("_llm_doc", "_llm_row")
+
+
+def with_row_key(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Add the columns ROW: the id (null as the smallest number) and a hash of the text."""
+    return df.withColumn(ROW[0], F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))).withColumn(
+        ROW[1], F.xxhash64(text_of(text))
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, token_count
+from icuflow.llm import bpe, line_dedup, packing, secrets, token_count
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,57 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     counted = token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query(
+    """
+WITH line AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+)
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that five documents or more share."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return line_dedup.drop_shared_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def _digest(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every whole text: counts and digest of the base kinds, all spans."""
+    found = secrets.scan(documents(spark, folder).select("doc_id", "text"))
+    base = [rule.kind for rule in secrets.BASE]
+    of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(_digest(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        _digest(F.col("secrets")).alias("spans"),
+    )
+
+
+@query()
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in sequences of 1024 tokens."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
