@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, line_dedup, packing, secrets, token_count
+from icuflow.llm import bpe, line_dedup, neighbours, packing, quality, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,57 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in sequences of 1024 tokens."""
     docs = documents(spark, folder).select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query()
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every whole text, learnt from labels that are not held out."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality.classify(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+_FINITE = "len({v}) > 0 AND len(list_filter({v}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query(
+    f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_FINITE.format(v="embedding")} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, x: a + x)) AS size FROM v
+), pair AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, x: a + x) / (q.size * c.size) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pair
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+)
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest rows by cosine of every row whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query(
+    f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_FINITE.format(v="embedding")}
+), pair AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pair
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+)
+def op9_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The five rows of highest integer inner product of every row whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return topk.top(vectors, F.col("vec_id") % 50 == 0)
