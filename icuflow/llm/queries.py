@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, line_dedup, neighbours, packing, quality, secrets, token_count, topk
+from icuflow.llm import bpe, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,9 @@ def op9_top_products(spark: SparkSession, folder: str) -> DataFrame:
     """The five rows of highest integer inner product of every row whose id is divisible by 50."""
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     return topk.top(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document: five-word shingles, similarity 0.8 or more."""
+    return minhash.classes(documents(spark, folder).select("doc_id", "text"))
