@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
+from icuflow.llm import bpe, licenses, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,53 @@ def op9_top_products(spark: SparkSession, folder: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document: five-word shingles, similarity 0.8 or more."""
     return minhash.classes(documents(spark, folder).select("doc_id", "text"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEMPLATES = ", ".join(f"({k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(licenses.TEMPLATES))
+_LOWER_WORDS = "list_transform(regexp_extract_all({}, '[A-Za-z0-9]+'), lambda x: lower(x))"
+
+
+@query(
+    f"""
+WITH template(number, license, words) AS (
+  SELECT column0, column1, {_LOWER_WORDS.format("column2")} FROM (VALUES {_TEMPLATES})
+), parts AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), unit AS (
+  SELECT doc_id, unnest(generate_series(0, len(lines) - 1)) AS line, unnest(lines) AS text FROM parts
+  UNION ALL SELECT doc_id, -1, text FROM parts WHERE len(lines) > 1
+), worded AS (
+  SELECT doc_id, line, {_LOWER_WORDS.format("text")} AS words FROM unit
+), sized AS (
+  SELECT doc_id, line, words, len(words) - 1 AS size FROM worded
+  WHERE len(words) - 1 BETWEEN 1 AND (SELECT max(len(words) - 1) * 1.5 FROM template)
+), own AS (
+  SELECT doc_id, line, size, words[i] || ' ' || words[i + 1] AS pair, count(*) AS n
+  FROM (SELECT *, unnest(generate_series(1, size)) AS i FROM sized) GROUP BY ALL
+), given AS (
+  SELECT number, license, size, words[i] || ' ' || words[i + 1] AS pair, count(*) AS n
+  FROM (SELECT *, len(words) - 1 AS size, unnest(generate_series(1, len(words) - 1)) AS i FROM template) GROUP BY ALL
+), dice AS (
+  SELECT o.doc_id, o.line, g.number, g.license, 2 * sum(least(o.n, g.n)) / CAST(o.size + g.size AS DOUBLE) AS dice
+  FROM own o JOIN given g ON o.pair = g.pair GROUP BY o.doc_id, o.line, g.number, g.license, o.size, g.size
+), best AS (
+  SELECT * FROM dice WHERE dice >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, number) = 1
+)
+SELECT p.doc_id, count(b.line) AS n_notices,
+  coalesce(string_agg(DISTINCT b.license, ',' ORDER BY b.license), '') AS licenses, coalesce(max(b.dice), 0.0) AS best_dice
+FROM parts p LEFT JOIN best b ON p.doc_id = b.doc_id GROUP BY p.doc_id
+"""
+)
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences that every document's lines or its whole text name."""
+    found = licenses.scan(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["license"]))), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("notices", lambda n: n["dice"])), F.lit(0.0)).alias("best_dice"),
+    )
