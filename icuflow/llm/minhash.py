@@ -77,7 +77,7 @@ def signature(elements: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarra
 def _points(out: np.ndarray, elements: np.ndarray, counts: np.ndarray, start: int, width: int, until: float) -> None:
     """Enter the points up to time `until` of the processes on the weights from `start` to `start + width`."""
     slots = len(out)
-    seed = mix(elements + _U64(width + (start > 0)) * _U64(0xD6E8FEB86659FD93))
+    seed = mix(elements + _U64((width + (start > 0)) * 0xD6E8FEB86659FD93 % (1 << 64)))
     time, number = np.zeros(len(seed)), 0
     while len(seed):
         # Some points of each process at a time: many where there are few processes.

@@ -178,7 +178,7 @@ _LOWER_WORDS = "list_transform(regexp_extract_all({}, '[A-Za-z0-9]+'), lambda x:
 @query(
     f"""
 WITH template(number, license, words) AS (
-  SELECT column0, column1, {_LOWER_WORDS.format("column2")} FROM (VALUES {_TEMPLATES})
+  SELECT number, license, {_LOWER_WORDS.format("text")} FROM (VALUES {_TEMPLATES}) AS t(number, license, text)
 ), parts AS (
   SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), unit AS (
