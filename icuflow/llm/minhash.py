@@ -6,10 +6,10 @@ by further halving of the interval, a unit of weight. A slot holds the earliest
 reaches, so two documents agree in a slot with the probability of their weighted Jaccard similarity. Processes run only
 until every slot is filled.
 
-Equal texts are one node. Nodes that share a band are candidates. Groups of candidates are resolved around leaders: every
-member is verified against a leader, and a member that is linked to its group needs no more. Those that are not become
-leaders themselves, more in each round, until no two members in different classes are unverified: no link between
-candidates is lost, and a group of n copies costs n verifications, not their square. Classes are connected components.
+Equal texts are one node. Nodes that share a band are a group of candidates. Every member is compared with its group's
+leader, so a group of n near copies costs n comparisons, not their square. Members that are not in their leader's class
+then go through an exact prefix filter against all members of such groups: no link between candidates is lost, and what
+a group shares but is too little for a link, such as a common passage, brings no pairs. Classes are connected components.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from icuflow.llm.common import text_of, without, written
 
 BANDS, ROWS = 24, 6
-#: Members of a group that are asked about the others in one round; rounds go on until none is left.
-TURNS = 256
 _U64 = np.uint64
 _GOLD = _U64(0x9E3779B97F4A7C15)
 
@@ -179,50 +177,77 @@ def components(links: DataFrame) -> DataFrame:
         known = now
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose multisets are at least `least` similar."""
+def _compared(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Columns a, b and `similar`, the similarity of their multisets, for the pairs (a, b) that could reach `least`."""
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     # Sizes alone rule out pairs before any set is moved.
     both = pairs.where(F.least("w_a", "w_b") >= F.lit(least) * F.greatest("w_a", "w_b")).select("a", "b").distinct()
     both = both.join(side("a"), "a").join(side("b"), "b")
-    return both.where(_similarity()("set_a", "set_b") >= least).select("a", "b")
+    return both.select("a", "b", _similarity()("set_a", "set_b").alias("similar"))
 
 
-def _resolve(member: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """`node` and `root` of the nodes that are linked to another, from the groups (band, key) of candidate nodes."""
+def _resolve(member: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """`node` and `root` of the nodes that are linked to another, from the groups (band, key) of candidate nodes.
+
+    A group's leader is the member that shares most bands with others; all members are compared with it. What that
+    leaves open goes through `_rest`.
+    """
     group = ["band", "key"]
-    lead = member.groupBy(*group).agg(F.min(F.struct("node", "weight")).alias("lead"))
-    lead = written(lead.select(*group, F.col("lead.node").alias("b"), F.col("lead.weight").alias("w_b")))
+    order = F.struct((-F.col("central")).alias("rank"), "node")
+    lead = member.groupBy(*group).agg(F.min(F.struct(order.alias("order"), "weight")).alias("lead"))
+    lead = written(lead.select(*group, F.col("lead.order.node").alias("b"), F.col("lead.weight").alias("w_b")))
     own = (F.col("node").alias("a"), F.col("weight").alias("w_a"))
     pairs = member.select(*group, *own).join(lead, group).where(F.col("a") != F.col("b"))
-    links = written(_verified(pairs, sets, similarity))
-    asked, turns = None, 1
-    while True:
-        root = components(links)
-        placed = member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        home = lead.join(root.withColumnRenamed("node", "b"), "b", "left")
-        home = home.select(*group, "b", F.coalesce("root", "b").alias("home"))
-        # Members outside their leader's class are open until they have been asked about all the others.
-        out = placed.join(home, group).where(F.col("root") != F.col("home")).drop("home", "b")
-        if asked is not None:
-            out = out.join(asked, [*group, "node"], "left_anti")
-        first = Window.partitionBy(*group).orderBy("node")
-        turn = written(out.withColumn("place", F.row_number().over(first)).where(F.col("place") <= turns).drop("place"))
-        if turn.isEmpty():
-            return root
-        # Groups without an open member are done for good: classes only grow together.
-        member = written(placed.drop("root").join(turn.select(*group).distinct(), group, "left_semi"))
-        asking = turn.select(*group, F.col("node").alias("b"), F.col("weight").alias("w_b"), F.col("root").alias("home"))
-        pairs = (
-            placed.select(*group, *own, "root")
-            .join(asking, group)
-            .where((F.col("root") != F.col("home")))
-            .join(lead.select(*group, F.col("b").alias("a")), [*group, "a"], "left_anti")
-        )
-        links = written(links.unionByName(_verified(pairs, sets, similarity)))
-        done = turn.select(*group, "node")
-        asked = done if asked is None else written(asked.unionByName(done))
-        turns = min(4 * turns, TURNS)
+    links = written(_compared(pairs, sets, least).where(F.col("similar") >= least).select("a", "b"))
+    root = components(links)
+    placed = member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    home = lead.join(root.withColumnRenamed("node", "b"), "b", "left").select(*group, F.coalesce("root", "b").alias("home"))
+    # Members outside their leader's class may be linked to one another, or to others than the leader. A group of two
+    # has nothing left to compare.
+    out = placed.join(home, group).where(F.col("root") != F.col("home")).where(F.col("n") > 2)
+    out = written(out.select(*group, "node").distinct())
+    if out.isEmpty():
+        return root
+    near = placed.join(out.select(*group).distinct(), group, "left_semi").select("node", "root", "weight").distinct()
+    near = written(near.join(out.select("node", F.lit(True).alias("open")).distinct(), "node", "left"))
+    rest = _rest(near, sets, least)
+    return root if rest.isEmpty() else components(links.unionByName(rest))
+
+
+def _rest(near: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Every link (a, b) between an open node and a node of another root, by prefix filtering, which is exact.
+
+    Two sets that are `least` similar share that part of either, so they also share one of the elements that come first
+    in either set, if as many come first as can be missing, and one more. The rarest elements come first: what very many
+    nodes share, such as a common passage, is at the end and brings no two nodes together.
+    """
+
+    @F.arrow_udf("array<long>")
+    def numbers(packed: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(p, dtype=np.int64) for p in packed.to_pylist()], type=pa.list_(pa.int64()))
+
+    element = near.join(sets, "node").select("node", F.explode(numbers("set")).alias("element"))
+    element = written(element)
+    often = element.groupBy("element").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") > 1)
+    # An element of one node comes first too, but brings nothing together: only its place counts.
+    placed = element.join(often, "element", "left").join(near, "node")
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.col("often").asc_nulls_first(), "element"))
+    missing = F.col("weight") - F.ceil(F.col("weight") * F.lit(least) - 1e-9)
+    prefix = placed.withColumn("place", first).where((F.col("place") <= missing + 1) & F.col("often").isNotNull())
+    names = ("node", "root", "weight", "open", "place")
+    prefix = written(prefix.select("element", *names))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in names]
+    both = prefix.where("open").select("element", *side("a")).join(prefix.select("element", *side("b")), "element")
+    # If this is the first common element, what follows it in the shorter rest is all that can be common.
+    needed = F.lit(least / (1 + least)) * (F.col("weight_a") + F.col("weight_b"))
+    left = F.least(F.col("weight_a") - F.col("place_a"), F.col("weight_b") - F.col("place_b")) + 1
+    size = left >= needed - 1e-9
+    # A pair of open nodes comes from both sides; one is enough.
+    once = F.col("open_b").isNull() | (F.col("node_a") < F.col("node_b"))
+    pairs = both.where((F.col("root_a") != F.col("root_b")) & once & size).select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("weight_a").alias("w_a"), F.col("weight_b").alias("w_b")
+    )
+    return written(_compared(pairs, sets, least).where(F.col("similar") >= least).select("a", "b"))
 
 
 def classes(
@@ -245,8 +270,11 @@ def classes(
         F.min("_id").alias("least"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
     member = nodes.select("node", "least", "weight", F.posexplode("bands").alias("band", "key"))
-    shared = member.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("band", "key")
+    shared = member.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     member = written(member.join(shared, ["band", "key"]))
+    # How many candidates a node has, counted once for each band that they share.
+    central = member.groupBy("node").agg(F.sum("n").alias("central"))
+    member = written(member.join(central, "node"))
     wanted = member.select("node", F.col("least").alias("_id")).distinct()
     # A node's text comes from one of its rows, so copies are not brought together.
     here = [F.col("node"), F.coalesce("_id", F.lit(-(2**63))).alias("_key")]
