@@ -92,27 +92,23 @@ def trigram_query(rule: Rule) -> list[frozenset[str]]:
     return [s for s in dict.fromkeys(sets) if not any(t < s for t in sets)]
 
 
-def _running(values: Column, of, start: Column) -> Column:
-    """The running `of` before each element; in blocks of about the root of their number."""
-    n = F.size(values)
-    block = F.ceil(F.sqrt(n.cast("double"))).cast("int")
-    over = lambda xs: F.aggregate(xs, start, of)
-    blocks = F.when(n == 0, F.array().cast("array<long>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.ceil(n / block).cast("int") - 1), lambda b: over(F.slice(values, b * block + 1, block)))
-    )
-    before = F.transform(blocks, lambda _, b: over(F.slice(blocks, 1, b)))
-    return F.transform(
+def _running(df: DataFrame, values: str, out: str, of, start: Column) -> DataFrame:
+    """Add `out`: the running `of` before each element of the array column `values`, in blocks of about the root of their
+    number. The steps are columns of their own, so that each is evaluated once a row."""
+    blocks, before, width = f"{out}_blocks", f"{out}_before", f"{out}_width"
+    size, block = F.size(values), F.col(width)
+    df = df.withColumn(width, F.greatest(F.ceil(F.sqrt(size.cast("double"))).cast("int"), F.lit(1)))
+    starts = F.when(size <= 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")))
+    df = df.withColumn(blocks, F.transform(starts, lambda b: F.aggregate(F.slice(values, b * block + 1, block), start, of)))
+    df = df.withColumn(before, F.transform(blocks, lambda _, b: F.aggregate(F.slice(blocks, 1, b), start, of)))
+    place = lambda i: F.floor(i / block).cast("int")
+    own = F.transform(
         values,
         lambda _, i: F.aggregate(
-            F.slice(values, (i / block).cast("int") * block + 1, i % block),
-            F.element_at(before, (i / block).cast("int") + 1),
-            of,
+            F.slice(values, place(i) * block + 1, i % block), F.element_at(F.col(before), place(i) + 1), of
         ),
     )
-
-
-def _total(xs: Column) -> Column:
-    return _running(xs, lambda a, x: a + x, F.lit(0).cast("long"))
+    return df.withColumn(out, own).drop(blocks, before, width)
 
 
 def candidates(rows: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame | None:
@@ -155,8 +151,8 @@ def _spans(rows: DataFrame, number: int, rule: Rule, text: str) -> DataFrame:
         inner = length(F.regexp_extract_all(value, pattern, F.lit(rule.group)))
         found = found.withColumn(part("group"), F.when(wanted, inner))
     gap, size = F.col(part("gap")), F.col(part("len"))
-    steps = F.zip_with(F.slice(gap, 1, F.size(size)), size, lambda g, n: g + n)
-    found = found.withColumn(part("step"), F.when(gap.isNotNull(), _total(steps)))
+    found = found.withColumn(part("both"), F.zip_with(F.slice(gap, 1, F.size(size)), size, lambda g, n: g + n))
+    found = _running(found, part("both"), part("step"), lambda a, x: a + x, F.lit(0).cast("long"))
     span = F.transform(
         F.col(part("step")),
         lambda before, i: F.struct(
@@ -167,7 +163,7 @@ def _spans(rows: DataFrame, number: int, rule: Rule, text: str) -> DataFrame:
             (F.element_at(F.col(part("group")), i + 1) if rule.least else F.lit(0).cast("long")).alias("inner"),
         ),
     )
-    names = [part(x) for x in ("gap", "len", "group", "step")]
+    names = [part(x) for x in ("gap", "len", "group", "both", "step")]
     return found.withColumn(part("span"), F.filter(span, lambda s: s["inner"] >= rule.least)).drop(*names)
 
 
@@ -201,17 +197,18 @@ def redact(
     """Replace what the spans of `secrets` cover by `mark`, overlapping or touching spans by one mark.
 
     A text without spans stays as it is, null included."""
+    ends, reached = "_llm_ends", "_llm_reached"
     spans, value = F.col(secrets), text_of(text)
-    reached = _running(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x), F.lit(0).cast("long"))
-    kept = F.transform(
-        F.filter(
-            F.transform(spans, lambda s, i: F.struct(F.element_at(reached, i + 1).alias("from"), s["start"].alias("to"), i.alias("at"))),
-            lambda p: (p["at"] == 0) | (p["to"] > p["from"]),
-        ),
-        lambda p: F.substring(value, p["from"].cast("int") + 1, F.greatest(p["to"] - p["from"], F.lit(0)).cast("int")),
+    df = docs.withColumn(ends, F.transform(spans, lambda s: s["end"]))
+    df = _running(df, ends, reached, lambda a, x: F.greatest(a, x), F.lit(0).cast("long"))
+    open_ = F.zip_with(
+        spans, reached, lambda s, before: F.struct(before.alias("from"), s["start"].alias("to"))
     )
-    end = F.array_max(F.transform(spans, lambda s: s["end"])).cast("int")
-    tail = F.substring(value, end + 1, F.char_length(value))
-    return docs.withColumn(
-        text, F.when(F.size(spans) > 0, F.array_join(F.concat(kept, F.array(tail)), mark)).otherwise(F.col(text))
+    # What lies between spans; the first piece may be empty, later ones are only there where spans don't touch.
+    pieces = F.transform(
+        F.filter(open_, lambda p, i: (i == 0) | (p["to"] > p["from"])),
+        lambda p: F.substring(value, p["from"].cast("int") + 1, F.greatest(p["to"] - p["from"], F.lit(0)).cast("int")),
     )
+    tail = F.substring(value, F.array_max(ends).cast("int") + 1, F.char_length(value))
+    clean = F.array_join(F.concat(pieces, F.array(tail)), mark)
+    return df.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text))).drop(ends, reached)
