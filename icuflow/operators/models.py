@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -116,11 +116,16 @@ def scores(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFram
     return scored.select(*columns)
 
 
-def split_auroc(df: DataFrame, estimator: Estimator, key: str, fraction: float = 0.7) -> DataFrame:
+def _made(estimator: Estimator | Callable[[DataFrame], Estimator], train: DataFrame) -> Estimator:
+    """The estimator, or what a function makes of the training rows (a penalty by their number, say)."""
+    return estimator if isinstance(estimator, Estimator) else estimator(train)
+
+
+def split_auroc(df: DataFrame, estimator: Estimator | Callable[[DataFrame], Estimator], key: str, fraction: float = 0.7) -> DataFrame:
     """Fit on the md5-split training part, AUROC and accuracy on the rest; one row."""
     parts = hash_split(df, key, fraction, "_split")
     train, test = parts.filter("_split = 'train'").drop("_split"), parts.filter("_split = 'test'").drop("_split")
-    scored = estimator.fit(train).transform(test)
+    scored = _made(estimator, train).fit(train).transform(test)
     raw = "rawPrediction" if "rawPrediction" in scored.columns else "probability"
     area = BinaryClassificationEvaluator(rawPredictionCol=raw, metricName="areaUnderROC", numBins=0).evaluate(scored)
     return scored.agg(
@@ -133,7 +138,7 @@ def split_mse(df: DataFrame, estimator: Estimator, key: str, fraction: float = 0
     """Fit on the md5-split training part, mean squared error on the rest; one row."""
     parts = hash_split(df, key, fraction, "_split")
     train, test = parts.filter("_split = 'train'").drop("_split"), parts.filter("_split = 'test'").drop("_split")
-    scored = estimator.fit(train).transform(test)
+    scored = _made(estimator, train).fit(train).transform(test)
     gap = F.col("prediction") - F.col("label")
     return scored.agg(F.count(F.lit(1)).alias("n_test"), F.avg(gap * gap).alias("mse"))
 
@@ -178,7 +183,8 @@ def cross_validate(
 
     def one_fold(i: int) -> list[float]:
         train, test = df.filter(F.col(folds) != i), df.filter(F.col(folds) == i)
-        return [float(evaluator.evaluate(estimator.fit(train, cell).transform(test))) for cell in cells]
+        made = _made(estimator, train)
+        return [float(evaluator.evaluate(made.fit(train, cell).transform(test))) for cell in cells]
 
     with ThreadPool(parallelism) as pool:
         per_fold = pool.map(inheritable_thread_target(df.sparkSession)(one_fold), range(k))
@@ -211,7 +217,7 @@ def repeated_auroc(df: DataFrame, estimator: Estimator, key: str, size: int, see
     found = []
     for seed in seeds:
         train, test = (bootstrap(h, key, size // 2, seed) for h in halves)
-        area = BinaryClassificationEvaluator(numBins=0).evaluate(estimator.fit(train).transform(test))
+        area = BinaryClassificationEvaluator(numBins=0).evaluate(_made(estimator, train).fit(train).transform(test))
         found.append({"seed": int(seed), "auroc": float(area)})
     return found
 

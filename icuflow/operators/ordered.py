@@ -1,10 +1,8 @@
 """Order-dependent operators that do not put all rows of one key into one task.
 
-A plain window sorts every row of a key in a single task. The operators here count the rows
-per key first (a partial aggregate over the key columns alone). If no key exceeds TASK_ROWS
-the plain window is used. Otherwise the rows are range-partitioned by (keys, order), so a hot
-key is cut into many pieces, and the little that crosses a border is handed from piece to
-piece:
+A plain window sorts every row of a key in a single task. Here the rows are range-partitioned
+by (keys, order), at every size, so a hot key is cut into many pieces, and the little that
+crosses a border is handed from piece to piece:
 
 * running totals and last-known values: one carry per piece;
 * lags, leads and row frames: a halo of the few rows next to the border;
@@ -23,20 +21,10 @@ from pyspark.sql import functions as F
 
 from icuflow.session import stable
 
-# The most rows of one key that a single task is given to sort.
-TASK_ROWS = 2_000_000
-
 PIECE, ROW, POSITION = "_piece", "_row", "_position"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def fits_one_task(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Whether the largest key (or the whole frame, without keys) has at most `limit` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n")).first()[0] or 0
-    return largest <= (TASK_ROWS if limit is None else limit)
-
-
 def _number(df: DataFrame, by: Sequence, pieces: int | None) -> DataFrame:
     """Rows sorted by `by` in range partitions, with their piece and a number rising within it."""
     count = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -88,7 +76,7 @@ def running(
 ) -> DataFrame:
     """Running sums (`totals`) and last non-null values (`latest`) per key, current row included.
 
-    `order` must be total within the keys. `pieces` forces the range-partitioned way.
+    `order` must be total within the keys. `pieces` sets the number of range partitions.
     """
     totals, latest = dict(totals or {}), dict(latest or {})
 
@@ -99,9 +87,6 @@ def running(
             **{n: F.last(c, ignorenulls=True).over(so_far) for n, c in latest.items()},
         }
 
-    if pieces is None and fits_one_task(df, keys):
-        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
-
     key = F.struct(*keys) if keys else F.lit(0)
     rows = _number(df, [*keys, *order], pieces).withColumn("_key", key)
     partial = rows.withColumns(columns(Window.partitionBy(PIECE, *keys).orderBy(ROW)))
@@ -154,13 +139,9 @@ def over_neighbours(
 ) -> DataFrame:
     """Window columns that look at most `before` rows back and `after` rows ahead.
 
-    `order` must be total within the keys. In the range-partitioned way each piece gets
-    copies of the rows just outside its borders, the window runs per piece, and the copies
+    `order` must be total within the keys. Each piece gets copies of the rows just outside its borders, the window runs per piece, and the copies
     are dropped again.
     """
-    if pieces is None and fits_one_task(df, keys):
-        return df.withColumns(dict(make(Window.partitionBy(*keys).orderBy(*order))))
-
     rows, sizes = lay_out(df, order, keys, pieces)
     end = F.col("_start") + F.col("_size")
     spans = []
@@ -198,12 +179,8 @@ def ranks(
 ) -> DataFrame:
     """RANK / DENSE_RANK of each row in its key; ties share a rank.
 
-    In the range-partitioned way ranks are taken over the distinct (key, order) values with
-    their row counts, so a tie of any size is one row in the ordered part.
+    Ranks are taken over the distinct (key, order) values with their row counts, so a tie of any size is one row in the ordered part.
     """
-    if pieces is None and fits_one_task(df, keys):
-        window = Window.partitionBy(*keys).orderBy(*by)
-        return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(window))
     distinct = df.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("_n"))
     step = F.lit(1) if dense else F.col("_n")
     ranked = running(distinct, by, keys, totals={"_upto": step}, pieces=pieces).withColumn(

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from icuflow.functions.scalar import col
 
-# Above this many output columns the pivot goes through (key, label) partial results, which
-# updates one label per row instead of all of them and keeps the generated code small.
-WIDE = 30
-
 _AGGREGATES = {"min": F.min, "max": F.max, "mean": F.avg}
 
 
@@ -24,22 +20,13 @@ def pivot_stats(
     labels: Sequence[str],
     stats: Sequence[str] = ("min", "max", "mean"),
 ) -> DataFrame:
-    """One row per key with `<label>_<stat>` for every label and statistic."""
-    if len(labels) * len(stats) > WIDE:
-        narrow = df.groupBy(*by, label).agg(*[_AGGREGATES[s](value).alias(f"_{s}") for s in stats])
-        return narrow.groupBy(*by).agg(
-            *[
-                F.max(F.when(F.col(label) == name, F.col(f"_{s}"))).alias(f"{name}_{s}")
-                for name in labels
-                for s in stats
-            ]
-        )
-    return df.groupBy(*by).agg(
-        *[
-            _AGGREGATES[s](F.when(F.col(label) == name, F.col(value))).alias(f"{name}_{s}")
-            for name in labels
-            for s in stats
-        ]
+    """One row per key with `<label>_<stat>` for every label and statistic.
+
+    It goes through (key, label) partial results, so a row updates one label instead of all.
+    """
+    narrow = df.groupBy(*by, label).agg(*[_AGGREGATES[s](value).alias(f"_{s}") for s in stats])
+    return narrow.groupBy(*by).agg(
+        *[F.max(F.when(F.col(label) == name, F.col(f"_{s}"))).alias(f"{name}_{s}") for name in labels for s in stats]
     )
 
 

@@ -36,13 +36,19 @@ def standardize(df: DataFrame, columns: Sequence[str], train: DataFrame | None =
 def ordered_split(df: DataFrame, time: str, key: str, fraction: float = 0.7, out: str = "split") -> DataFrame:
     """'train' for the first floor(fraction * n) rows in (time, key) order, 'test' for the rest.
 
-    Only the border is looked up (two exact selections); the rows are not sorted.
+    Rows without a time come last, by key. Only the border is looked up (exact selections); the
+    rows are not sorted.
     """
-    timed = df.select(micros(time).alias("_t"), F.col(key))
-    total = timed.count()
-    size = int(total * fraction)
-    if size >= total:
+    rows = df.select(micros(time).alias("_t"), F.col(key))
+    timed, untimed = rows.filter(F.col("_t").isNotNull()), rows.filter(F.col("_t").isNull())
+    total, whole = rows.agg(F.count("_t"), F.count(F.lit(1))).first()
+    size = int(whole * fraction)
+    if size >= whole:
         return df.withColumn(out, F.lit("train"))
+    if size >= total:
+        first_test = value_at(untimed, key, size - total, whole - total)
+        before = F.col(time).isNotNull() | (F.col(key) < first_test)
+        return df.withColumn(out, F.when(before, "train").otherwise("test"))
     border = value_at(timed, "_t", size, total)
     earlier, same = timed.agg(F.count_if(F.col("_t") < border), F.count_if(F.col("_t") == border)).first()
     first_test = value_at(timed.filter(F.col("_t") == border), key, size - earlier, same)

@@ -62,8 +62,9 @@ def carry_forward(
 
 
 def lowest(df: DataFrame, by: Sequence[str], order: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """The row with the smallest `order` values per key, as one partial aggregate."""
+    """The row with the smallest `order` values per key, missing ones last, as one partial aggregate."""
+    sorted_by = F.struct(*[x for n, c in enumerate(order) for x in (F.col(c).isNull().alias(f"_missing_{n}"), F.col(c))])
     row = F.struct(*order, *[c for c in keep if c not in order])
-    return df.groupBy(*by).agg(F.min_by(row, F.struct(*order)).alias("_row")).select(
+    return df.groupBy(*by).agg(F.min_by(row, sorted_by).alias("_row")).select(
         *by, *[F.col(f"_row.{c}").alias(c) for c in keep]
     )

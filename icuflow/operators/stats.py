@@ -8,8 +8,7 @@ from math import pi, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from icuflow.operators.ordered import fits_one_task, null_safe_join, running
-from icuflow.session import small
+from icuflow.operators.ordered import null_safe_join, running
 
 # A quantile sketch of this accuracy is wrong by at most n / ACCURACY ranks; the bracket put
 # around each wanted rank is wider than that on both sides.
@@ -19,7 +18,7 @@ ACCURACY, MARGIN = 10_000, 0.001
 def _attach(df: DataFrame, table: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Add a per-group table's columns to every row; without groups it is one row of literals."""
     if groups:
-        return null_safe_join(df, small(table), groups)
+        return null_safe_join(df, table, groups)
     row = table.first()
     return df.withColumns({c: F.lit(row[c]).cast(table.schema[c].dataType) for c in table.columns})
 
@@ -30,19 +29,19 @@ def ranked_values(
     near: Sequence[float],
     wanted: Mapping[str, Column],
     groups: Sequence[str] = (),
-    sketched: bool | None = None,
+    sketched: bool = True,
 ) -> DataFrame:
     """Exact values at 0-based sorted positions, per group.
 
     `wanted` gives each position as an expression over the group's non-null count `_n`;
-    `near` the fractions those positions lie close to. Groups that fit one task are sorted.
-    Beyond that (or with sketched=True) nothing is sorted whole: a mergeable sketch proposes
+    `near` the fractions those positions lie close to. With sketched=False each group is sorted
+    in one task. Otherwise nothing is sorted whole: a mergeable sketch proposes
     narrow brackets around the positions, an exact count per bracket finds the one each
     position falls in, and only the distinct values inside those brackets are ordered. The
     result does not depend on the sketch, only the amount of work does.
     """
     data = df.select(*groups, F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-    if not sketched and (sketched is False or fits_one_task(data, groups)):
+    if not sketched:
         whole = Window.partitionBy(*groups)
         placed = data.withColumns(
             {"_at": F.row_number().over(whole.orderBy("_v")) - 1, "_n": F.count(F.lit(1)).over(whole)}
@@ -69,7 +68,7 @@ def ranked_values(
         F.array(*wanted.values()),
         lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_c")),
     )
-    chosen = small(bins.filter(hit).select(*groups, "_bin", "_before"))
+    chosen = bins.filter(hit).select(*groups, "_bin", "_before")
     values = (
         null_safe_join(binned, chosen, [*groups, "_bin"])
         .groupBy(*groups, "_bin", "_v")
@@ -93,7 +92,7 @@ def quantiles(
     column: str,
     probs: Mapping[str, float],
     groups: Sequence[str] = (),
-    sketched: bool | None = None,
+    sketched: bool = True,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one column per name, with the count `n`."""
     last = F.col("_n") - 1
@@ -144,7 +143,7 @@ def group_share(df: DataFrame, keys: Sequence[str], parent: Sequence[str] = ())
 def histogram_by_group(df: DataFrame, value: str, group: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over the range of all groups together; the last edge is closed.
 
-    Bins without rows are left out.
+    Every group has every bin, with 0 where it has no rows there; no bins without any value.
     """
     edges = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
     lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
@@ -154,7 +153,10 @@ def histogram_by_group(df: DataFrame, value: str, group: str, bins: int = 50) ->
     spot = F.when(width == 0, F.lit(bins // 2)).otherwise(
         F.least(F.floor(F.try_divide(v - F.col("_lo"), width)), F.lit(bins - 1))
     )
-    return ranged.select(group, spot.cast("int").alias("bin")).groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n"))
+    found = ranged.select(group, spot.cast("int").alias("bin")).groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n"))
+    every = ranged.select(group).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    filled = null_safe_join(every, found, [group, "bin"], "left")
+    return filled.select(group, "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def kde_grid(df: DataFrame, value: str, group: str, points: int = 50) -> DataFrame:

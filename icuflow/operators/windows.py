@@ -85,9 +85,10 @@ def overlap_flag(
 
 
 def first_events(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in `order`, as a partial aggregate instead of a sort."""
+    """One row per key: the first in `order`, missing values last, as a partial aggregate instead of a sort."""
     rest = [c for c in df.columns if c not in keys]
-    lead = [*order, *[c for c in rest if c not in order]]
+    sorted_by = [x for n, c in enumerate(order) for x in (F.col(c).isNull().alias(f"_missing_{n}"), F.col(c))]
+    lead = [*sorted_by, *[c for c in rest if c not in order]]
     return df.groupBy(*keys).agg(F.min(F.struct(*lead)).alias("_row")).select(
         *keys, *[F.col(f"_row.{c}").alias(c) for c in rest]
     )

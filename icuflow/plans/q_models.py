@@ -64,19 +64,19 @@ def assemble(t):
 @query()
 def fit_logreg(t):
     rows = stable(vectors(t))
-    return result(models.split_auroc(rows, models.l2_logistic(rows.count()), "vec_id"))
+    return result(models.split_auroc(rows, lambda train: models.l2_logistic(train.count()), "vec_id"))
 
 
 @query()
 def fit_linear_svm(t):
     rows = stable(vectors(t))
-    return result(models.split_auroc(rows, models.l2_svm(rows.count()), "vec_id"))
+    return result(models.split_auroc(rows, lambda train: models.l2_svm(train.count()), "vec_id"))
 
 
 @query()
 def fit_rff_svm(t):
     rows = stable(models.fourier_features(vectors(t).drop("features"), "embedding", DIMS, width=15))
-    return result(models.split_auroc(rows, models.l2_svm(rows.count()), "vec_id"))
+    return result(models.split_auroc(rows, lambda train: models.l2_svm(train.count()), "vec_id"))
 
 
 @query()
@@ -135,21 +135,24 @@ def fit_ridge(t):
 @query()
 def fit_rff_ridge(t):
     rows = stable(models.fourier_features(vectors(t).drop("features"), "embedding", DIMS, width=15))
-    return result(models.split_mse(rows, models.ridge(*models.label_scale(rows)), "vec_id"))
+    return result(models.split_mse(rows, lambda train: models.ridge(*models.label_scale(train)), "vec_id"))
 
 
 @query()
 def score_rows(t):
     rows = stable(vectors(t))
     parts = prep.hash_split(rows, "vec_id", 0.7)
-    fitted = models.l2_logistic(rows.count()).fit(parts.filter("split = 'train'"))
+    train = parts.filter("split = 'train'")
+    fitted = models.l2_logistic(train.count()).fit(train)
     return rounded(models.scores(fitted, parts, ["vec_id", "split", "label"]))
 
 
 @query()
 def cv_auc(t):
     rows = stable(prep.stratified_folds(doc_features(t), "label", "doc_id", 10))
-    found = models.cross_validate(rows, models.prepared(DOC_COLUMNS, models.l2_logistic(rows.count())), "fold", 10)
+    found = models.cross_validate(
+        rows, lambda train: models.prepared(DOC_COLUMNS, models.l2_logistic(train.count())), "fold", 10
+    )
     return t.spark.createDataFrame([(r["mean"], r["deviation"]) for r in found], "auroc double, deviation double")
 
 
@@ -158,8 +161,12 @@ def cv_mse(t):
     rows = stable(prep.kfold(order_features(t), "o_orderkey", 5))
     columns = ["quantity", "price", "lines"]
     found = []
-    for name, estimator in (("least_squares", models.least_squares()), ("ridge", models.ridge(*models.label_scale(rows)))):
-        scores = models.cross_validate(rows, models.prepared(columns, estimator), "fold", 5, metric="mse")
+    made = {
+        "least_squares": lambda train: models.prepared(columns, models.least_squares()),
+        "ridge": lambda train: models.prepared(columns, models.ridge(*models.label_scale(train))),
+    }
+    for name, estimator in made.items():
+        scores = models.cross_validate(rows, estimator, "fold", 5, metric="mse")
         found += [(name, r["mean"], r["deviation"]) for r in scores]
     return t.spark.createDataFrame(found, "model string, mse double, deviation double")
 
@@ -211,7 +218,7 @@ def pca_sweep(t):
 def repeat_eval(t):
     rows = stable(vectors(t))
     n = rows.count()
-    found = models.repeated_auroc(rows, models.l2_logistic(n), "vec_id", 2 * n, range(3))
+    found = models.repeated_auroc(rows, lambda train: models.l2_logistic(train.count()), "vec_id", 2 * n, range(10))
     return t.spark.createDataFrame([(r["seed"], r["auroc"]) for r in found], "seed int, auroc double")
 
 

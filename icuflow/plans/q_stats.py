@@ -215,8 +215,10 @@ def kde_grid(t):
 
 
 @query(
-    """WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events)
-    SELECT event_type, least(floor((value - lo) / ((hi - lo) / 50)), 49)::INTEGER AS bin, count(*) AS n FROM events, r GROUP BY ALL"""
+    """WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events), b AS (
+    SELECT event_type, least(floor((value - lo) / ((hi - lo) / 50)), 49)::INTEGER AS bin, count(*) AS n FROM events, r GROUP BY ALL),
+    g AS (SELECT event_type, unnest(range(50))::INTEGER AS bin FROM (SELECT DISTINCT event_type FROM events))
+    SELECT g.event_type, g.bin, coalesce(b.n, 0) AS n FROM g LEFT JOIN b ON g.event_type = b.event_type AND g.bin = b.bin"""
 )
 def histogram_by_group(t):
     return stats.histogram_by_group(t.events, "value", "event_type", 50)

@@ -1,15 +1,10 @@
-"""Session defaults, lineage cuts and size-checked broadcasts."""
+"""Session defaults and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A broadcast side may hold at most this many rows once it is counted.
-BROADCAST_ROWS = 200_000
-
 
 def build_session(app: str = "icuflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on; `conf` keys use `__` for dots."""
@@ -54,13 +49,3 @@ def stable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a side that should be small and hint a broadcast only if it is.
-
-    Beyond `limit` rows the frame is returned unhinted and the join shuffles (with the
-    adaptive skew handling) instead.
-    """
-    kept = stable(df)
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept

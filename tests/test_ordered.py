@@ -150,9 +150,3 @@ def test_results_do_not_depend_on_partitioning(spark, skewed):
         found.append(run())
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1] == found[2]
-
-
-def test_one_task_check_counts_the_largest_key(skewed):
-    assert ordered.fits_one_task(skewed, ["key"], 300)
-    assert not ordered.fits_one_task(skewed, ["key"], 299)
-    assert not ordered.fits_one_task(skewed, [], 899)

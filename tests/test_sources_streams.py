@@ -67,17 +67,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in plan
 
 
-def test_small_sides_are_broadcast_only_after_counting(spark):
-    from icuflow.session import small
-
-    def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
-
-    big = spark.range(10)
-    assert "strategy=broadcast" in plan(big.join(small(spark.range(5), 5), "id"))
-    assert "strategy=broadcast" not in plan(big.join(small(spark.range(6), 5), "id"))
-
-
 # --- streams --------------------------------------------------------------------------------
 
 

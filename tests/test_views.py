@@ -7,7 +7,7 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from icuflow.functions import items, scalar as fn
-from icuflow.operators import cohort, pivot, score, series, windows
+from icuflow.operators import cohort, pivot, prep, score, series, windows
 from icuflow.plans import reports, views
 
 
@@ -320,12 +320,28 @@ def test_range_join_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_two_step_pivot_equals_one_step(spark, monkeypatch):
-    frame = spark.range(200).select((F.col("id") % 7).alias("k"), F.concat(F.lit("l"), F.col("id") % 4).alias("label"), F.col("id").cast("double").alias("v"))
-    names = ["l0", "l1", "l2", "l3", "l9"]
-    one = sorted(map(tuple, pivot.pivot_stats(frame, ["k"], "label", "v", names).collect()))
-    monkeypatch.setattr(pivot, "WIDE", 1)
-    assert sorted(map(tuple, pivot.pivot_stats(frame, ["k"], "label", "v", names).collect()), key=str) == sorted(one, key=str)
+def test_pivot_statistics(spark):
+    rows = [(i % 7, f"l{i % 4}", float(i)) for i in range(200)]
+    got = pivot.pivot_stats(spark.createDataFrame(rows, "k int, label string, v double"), ["k"], "label", "v", ["l0", "l3", "l9"])
+    for r in got.collect():
+        for name in ("l0", "l3"):
+            own = [v for k, x, v in rows if (k, x) == (r["k"], name)]
+            assert (r[f"{name}_min"], r[f"{name}_max"], r[f"{name}_mean"]) == (min(own), max(own), sum(own) / len(own))
+        assert r["l9_min"] is None
+
+
+def test_missing_order_values_come_last(spark):
+    frame = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (1, 3, "c"), (2, None, "d")], "k int, t int, x string")
+    assert sorted((r["k"], r["x"]) for r in windows.first_events(frame, ["k"], ["t"]).collect()) == [(1, "c"), (2, "d")]
+    assert sorted((r["k"], r["x"]) for r in score.lowest(frame, ["k"], ["t"], ["x"]).collect()) == [(1, "c"), (2, "d")]
+
+
+def test_untimed_rows_are_split_last(spark):
+    times = [f"2020-01-01 0{i}:00:00" if i < 6 else None for i in range(10)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    for fraction, train in ((0.5, 5), (0.7, 7)):
+        got = {r["id"]: r["split"] for r in prep.ordered_split(frame, "t", "id", fraction).collect()}
+        assert got == {i: "train" if i < train else "test" for i in range(10)}
 
 
 # --- assembly ----------------------------------------------------------------------------------------------
