@@ -101,9 +101,13 @@ def with_exclusions(
     min_age: float = 16,
     surgical: Column | None = None,
 ) -> DataFrame:
-    """The cohort with its four exclusion flags; the service side is left-joined by stay."""
+    """The cohort with its four exclusion flags, one row per stay.
+
+    The service side is left-joined by stay; of several services at one time the first by name counts.
+    """
     surgical = fn.surgical("curr_service", SURGICAL_SUFFIX, SURGICAL_SERVICES) if surgical is None else surgical
-    flagged = co.join(service.select("icustay_id", "curr_service"), "icustay_id", "left")
+    named = service.groupBy("icustay_id").agg(F.min("curr_service").alias("curr_service"))
+    flagged = co.join(named, "icustay_id", "left")
     return flagged.withColumns(
         {
             "exclusion_los": fn.flag(F.col("icu_los") < min_los_days),

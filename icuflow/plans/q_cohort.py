@@ -47,7 +47,8 @@ EXCL = """excl AS (SELECT co.*, serv.curr_service,
   CASE WHEN icu_los < 2 THEN 1 ELSE 0 END AS exclusion_los, CASE WHEN age_icu_in < 40 THEN 1 ELSE 0 END AS exclusion_age,
   CASE WHEN icustay_id_order != 1 THEN 1 ELSE 0 END AS exclusion_first_stay,
   CASE WHEN curr_service IN ('R') THEN 1 ELSE 0 END AS exclusion_surgical
-  FROM co LEFT JOIN serv ON serv.icustay_id = co.icustay_id)"""
+  FROM co LEFT JOIN (SELECT icustay_id, min(curr_service) AS curr_service FROM serv GROUP BY icustay_id) serv
+  ON serv.icustay_id = co.icustay_id)"""
 CO_COLUMNS = """subject_id, hadm_id, icustay_id, first_careunit, admission_type, gender, icu_intime, icu_los, hosp_los,
   round(age_icu_in, 6) AS age_icu_in, dod_hosp, icustay_id_order, hospital_expire_flag, icu_expire_flag,
   hospital1day_expire_flag, hospital7day_expire_flag, hospital30day_expire_flag, hospital1year_expire_flag"""
