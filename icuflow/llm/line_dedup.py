@@ -56,12 +56,13 @@ def drop_shared_lines(
         .groupBy(*ROW)
         .agg(F.collect_set("pos").alias("_line_gone"))
     )
-    line = F.split(text_of(text), "\n", -1)
+    line, gone = F.col("_line_parts"), F.col("_line_gone")
     every = F.sequence(F.lit(0), F.size(line) - 1)
-    gone = F.col("_line_gone")
     rest = F.transform(F.array_except(every, gone), lambda p: F.element_at(line, p + 1))
+    # The lines are a column of their own: inside the lambda the text would be split anew for every kept line.
     return (
         rows.join(dropped, list(ROW), "left")
+        .withColumn("_line_parts", F.split(text_of(text), "\n", -1))
         .withColumn("n_lines", F.size(line).cast("long"))
         .withColumn("n_dropped", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
         .withColumn(text, F.when(gone.isNull(), text_of(text)).otherwise(F.array_join(rest, "\n")))
