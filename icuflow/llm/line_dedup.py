@@ -17,9 +17,27 @@ BLANK = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def line_key(line: Column) -> Column:
-    """A line without white space at its ends, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(BLANK)), UPPER, LOWER)
+def _bare(line: Column) -> Column:
+    """A line without white space at its ends. Most lines have none there, and a look at the ends is cheaper than a trim."""
+    ends = F.substring(line, 1, 1).isin(*BLANK) | F.substring(line, -1, 1).isin(*BLANK)
+    return F.when(ends, F.trim(line, F.lit(BLANK))).otherwise(line)
+
+
+def _lowered(line: Column) -> Column:
+    """A-Z in lower case. Plain ASCII takes the fast way, which would also change other letters elsewhere."""
+    plain = F.octet_length(line) == F.char_length(line)
+    return F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+
+
+def line_hashes(text: Column, min_chars: int) -> Column:
+    """An array with the hash of each line's key, null for a key of fewer than `min_chars` code points.
+
+    One step of an array at a time, so that no line is trimmed, lowered or hashed twice.
+    """
+    long = lambda x: F.when(F.char_length(x) >= min_chars, x)
+    lines = F.transform(F.split(text, "\n", -1), long)
+    keys = F.transform(F.transform(F.transform(lines, _bare), long), _lowered)
+    return F.transform(keys, lambda key: F.unhex(F.md5(key)))
 
 
 def drop_shared_lines(
@@ -36,12 +54,8 @@ def drop_shared_lines(
     """
     given = without(docs, [x for x in ("n_lines", "n_dropped") if x not in (text, doc_id)])
     rows = with_row_key(given, doc_id, text)
-    lines = rows.select(*ROW, F.posexplode(F.split(text_of(text), "\n", -1)).alias("pos", "line"))
-    keyed = (
-        lines.withColumn("key", line_key(F.col("line")))
-        .where(F.char_length("key") >= min_chars)
-        .select(*ROW, "pos", F.unhex(F.md5(F.col("key"))).alias("hash"))
-    )
+    lines = rows.select(*ROW, F.posexplode(line_hashes(text_of(text), min_chars)).alias("pos", "hash"))
+    keyed = lines.where(F.col("hash").isNotNull())
     shared = (
         keyed.select("hash", ROW[0])
         .distinct()
