@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import functions as F
 
 from icuflow.functions import items
@@ -13,7 +11,6 @@ from icuflow.plans.q_tables import rounded
 from icuflow.plans.registry import query
 from icuflow.streaming import live
 
-VITALS = ["click", "view"]
 MEANS = ", ".join(f"avg(CASE WHEN label = '{x}' THEN value END) AS {x}" for x in TYPES)
 LABELLED = f"lab AS (SELECT user_id, date_trunc('hour', ts) AS hour, {LABEL} AS label, value FROM events)"
 HOURLY = f"hr AS (SELECT user_id, hour, {MEANS} FROM (SELECT DISTINCT * FROM lab) x GROUP BY user_id, hour)"
@@ -54,7 +51,7 @@ def wide_timeseries(t):
 def history_sql(over, lags=(1, 2, 3, 5), named=("mean", "min", "max")):
     agg = {"mean": "avg", "min": "min", "max": "max", "median": "median"}
     parts = []
-    for v in VITALS:
+    for v in TYPES:
         parts += [f"round(lag({v}, {k}) OVER ({over}), 6) AS {v}_{k}h" for k in lags]
         parts += [f"round({agg[s]}({v}) OVER ({over} {FRAME}), 6) AS {v}_{s}_6h" for s in named]
     return ", ".join(parts)
@@ -64,8 +61,8 @@ PER_STAY = "PARTITION BY user_id ORDER BY hour"
 
 
 def history(t, lags=(), stats_=(), scope="stay"):
-    slim = hours(t).select("user_id", "hour", *VITALS)
-    return rounded(series.with_history(slim, VITALS, ["user_id"], ["hour"], lags, 6, stats_, scope).drop(*VITALS))
+    slim = hours(t).select("user_id", "hour", *TYPES)
+    return rounded(series.with_history(slim, TYPES, ["user_id"], ["hour"], lags, 6, stats_, scope).drop(*TYPES))
 
 
 @query(with_(LABELLED, HOURLY) + f" SELECT user_id, hour, {history_sql(PER_STAY, named=())} FROM hr")
@@ -123,14 +120,38 @@ def ordered_head(t):
     return t.orders.select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
 
 
+# A stream hands out a window once no row of it can come any more.
+CLOSED = "<= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"
+
+
 @query(
-    """SELECT user_id, event_type, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS mean, count(*) AS n
-    FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)"""
+    f"""SELECT user_id, event_type, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS mean, count(*) AS n
+    FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)
+    HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR {CLOSED}"""
 )
 def stream_hourly(t):
     feed = live.hourly_stream(live.event_stream(t.spark, t.folder), ["user_id", "event_type"], "value")
-    done = live.drain(feed, f"hourly_{uuid4().hex}")
-    return rounded(done.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+    return rounded(live.stored(feed).withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+
+
+@query(
+    f"""WITH spread AS (SELECT user_id, date_trunc('hour', ts) - to_hours(CAST(k AS INTEGER)) AS start, value
+      FROM events, range(6) r(k))
+    SELECT user_id, start, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high, count(*) AS n
+    FROM spread GROUP BY user_id, start HAVING start + INTERVAL 6 HOUR {CLOSED}"""
+)
+def stream_sliding(t):
+    feed = live.event_stream(t.spark, t.folder).withWatermark("ts", "2 hours")
+    found = live.stored(live.sliding(feed, ["user_id"], "value"))
+    return rounded(found.withColumn("start", F.col("start").cast("timestamp_ntz")), keep=("low", "high"))
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_distinct(t):
+    # Every reading arrives twice.
+    feed = live.event_stream(t.spark, t.folder).select("event_id", "user_id", "event_type", "ts", "value")
+    twice = feed.unionByName(live.event_stream(t.spark, t.folder).select(feed.columns))
+    return live.stored(live.distinct_readings(twice, ["event_id"])).drop("ts")
 
 
 @query(

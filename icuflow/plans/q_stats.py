@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
 from icuflow.operators import cohort, metrics, pivot, prep, stats, windows
-from icuflow.plans.bindings import ICU, OBS, PAT, RANGES, icustays, observations, patients, with_
+from icuflow.plans.bindings import ICU, OBS, PAT, RANGES, TYPES, icustays, observations, patients, with_
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
 from icuflow.plans.q_tables import rounded
 from icuflow.plans.registry import query
@@ -255,11 +255,11 @@ def reference_range_share(t):
 
 
 @query(
-    with_(LABELLED, HOURLY, "m AS (SELECT avg(click) AS c, avg(view) AS v FROM hr)")
-    + " SELECT user_id, hour, round(coalesce(click, c), 6) AS click, round(coalesce(view, v), 6) AS view FROM hr, m"
+    with_(LABELLED, HOURLY, f"m AS (SELECT {', '.join(f'avg({x}) AS m_{x}' for x in TYPES)} FROM hr)")
+    + f" SELECT user_id, hour, {', '.join(f'round(coalesce({x}, m_{x}), 6) AS {x}' for x in TYPES)} FROM hr, m"
 )
 def mean_impute(t):
-    return rounded(prep.mean_impute(hours(t).select("user_id", "hour", "click", "view"), ["click", "view"]))
+    return rounded(prep.mean_impute(hours(t).select("user_id", "hour", *TYPES), TYPES))
 
 
 @query(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from icuflow.session import shared_dir
 from icuflow.sources.schema import EVENTS
 
 
@@ -62,7 +64,8 @@ class PreviousReading(StatefulProcessor):
         self.memory = memory
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "ts timestamp, value double")
+        # An idle key's state goes after as long as its value would count.
+        self.last = handle.getValueState("last", "ts timestamp, value double", ttlDurationMs=int(self.memory * 1000))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         seen = self.last.get() if self.last.exists() else None
@@ -91,7 +94,7 @@ class PreviousReading(StatefulProcessor):
 
 
 def previous_reading(events: DataFrame, memory: float = 6 * 3600) -> DataFrame:
-    """Carry-forward on a stream; idle keys keep one small state row until the query ends."""
+    """Carry-forward on a stream; the state of a key without readings for `memory` seconds expires."""
     return (
         events.select("user_id", "ts", "value")
         .groupBy("user_id")
@@ -99,13 +102,25 @@ def previous_reading(events: DataFrame, memory: float = 6 * 3600) -> DataFrame:
             PreviousReading(memory),
             outputStructType="user_id long, ts timestamp, value double, previous double",
             outputMode="Append",
-            timeMode="None",
+            timeMode="ProcessingTime",
         )
     )
 
 
+def stored(stream: DataFrame) -> DataFrame:
+    """Run a stream over what is there now, append what is final to Parquet files, and read them.
+
+    Files and state lie in the shared folder: a restarted query goes on from them, nothing passes through the driver, and
+    what the watermark has closed leaves the state.
+    """
+    folder = f"{shared_dir(stream.sparkSession).rstrip('/')}/stream-{uuid4().hex}"
+    writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{folder}/state").start(f"{folder}/rows").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 def drain(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there now into an in-memory table and return the table."""
+    """Run a stream over what is there now into a table in the driver's memory: for small feeds only, see `stored`."""
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.table(name)
