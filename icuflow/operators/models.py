@@ -250,15 +250,18 @@ def pca_fit(df: DataFrame, k: int):
     return PCA(k=k, inputCol="features", outputCol="components").fit(df)
 
 
-def pca_sweep(df: DataFrame, key: str, dims: Sequence[int], estimator_for) -> list[dict]:
-    """Retained variance and AUROC for several target dimensions from one decomposition."""
-    model = pca_fit(df, max(dims))
+def pca_sweep(
+    df: DataFrame, key: str, dims: Sequence[int], estimator: Estimator | Callable[[DataFrame], Estimator], fraction: float = 0.7
+) -> list[dict]:
+    """Retained variance and AUROC for several target dimensions from one decomposition of the training part."""
+    parts = hash_split(df, key, fraction, "_split")
+    model = pca_fit(parts.filter("_split = 'train'"), max(dims))
     variance = np.asarray(model.explainedVariance.toArray())
     projected = model.transform(df).drop("features")
     found = []
     for d in dims:
         reduced = VectorSlicer(inputCol="components", outputCol="features", indices=list(range(d))).transform(projected)
-        result = split_auroc(reduced, estimator_for(d), key).first()
+        result = split_auroc(reduced, estimator, key, fraction).first()
         found.append({"dims": int(d), "retained": float(variance[:d].sum()), "auroc": float(result["auroc"])})
     return found
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from icuflow.functions import scalar as fn
 from icuflow.operators import models, neighbours, prep
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
-from icuflow.plans.bindings import with_
+from icuflow.plans.bindings import TYPES, with_
 from icuflow.plans.q_tables import rounded
 from icuflow.plans.registry import query
 from icuflow.session import stable
@@ -37,12 +37,16 @@ DOC_COLUMNS = ["n_chars", "n_words", "lang", "source"]
 
 
 def order_features(t) -> DataFrame:
-    """Line aggregates of an order with its price as the target."""
+    """Line aggregates of an order with two targets: its price and the days until its last line is shipped."""
     lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"), F.count(F.lit(1)).cast("double").alias("lines")
+        F.sum("l_quantity").alias("quantity"),
+        F.sum("l_extendedprice").alias("price"),
+        F.count(F.lit(1)).cast("double").alias("lines"),
+        F.max("l_shipdate").alias("shipped"),
     )
-    rows = lines.join(t.orders.select("o_orderkey", F.col("o_totalprice").alias("label")), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.drop("l_orderkey")
+    rows = lines.join(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), F.col("l_orderkey") == F.col("o_orderkey"))
+    days = F.date_diff("shipped", "o_orderdate").cast("double")
+    return rows.select("o_orderkey", "quantity", "price", "lines", F.col("o_totalprice").alias("total"), days.alias("days"))
 
 
 def result(df: DataFrame) -> DataFrame:
@@ -51,12 +55,12 @@ def result(df: DataFrame) -> DataFrame:
 
 @query(
     with_(LABELLED, HOURLY)
-    + """ SELECT user_id, hour, 2 AS size, round(coalesce(click, -1) + coalesce(view, -1), 6) AS total FROM hr"""
+    + f" SELECT user_id, hour, {len(TYPES)} AS size, round({' + '.join(f'coalesce({x}, -1)' for x in TYPES)}, 6) AS total FROM hr"
 )
 def assemble(t):
-    rows = hours(t).select("user_id", "hour", *[F.coalesce(c, F.lit(-1.0)).alias(c) for c in ("click", "view")])
+    rows = hours(t).select("user_id", "hour", *[F.coalesce(c, F.lit(-1.0)).alias(c) for c in TYPES])
     values = vector_to_array("features")
-    made = VectorAssembler(inputCols=["click", "view"], outputCol="features").transform(rows)
+    made = VectorAssembler(inputCols=TYPES, outputCol="features").transform(rows)
     total = F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
     return rounded(made.select("user_id", "hour", F.size(values).alias("size"), total.alias("total")))
 
@@ -150,25 +154,34 @@ def score_rows(t):
 @query()
 def cv_auc(t):
     rows = stable(prep.stratified_folds(doc_features(t), "label", "doc_id", 10))
-    found = models.cross_validate(
-        rows, lambda train: models.prepared(DOC_COLUMNS, models.l2_logistic(train.count())), "fold", 10
-    )
-    return t.spark.createDataFrame([(r["mean"], r["deviation"]) for r in found], "auroc double, deviation double")
+    made = {
+        "logistic": lambda train: models.prepared(DOC_COLUMNS, models.l2_logistic(train.count())),
+        "linear_svm": lambda train: models.prepared(DOC_COLUMNS, models.l2_svm(train.count())),
+        "tree": models.prepared(DOC_COLUMNS, models.entropy_tree(), nominal=8),
+        "boosted": models.prepared(DOC_COLUMNS, models.boosted(), nominal=8),
+    }
+    found = []
+    for name, estimator in made.items():
+        cells = models.cross_validate(rows, estimator, "fold", 10)
+        found += [(name, r["mean"], r["deviation"]) for r in cells]
+    return t.spark.createDataFrame(found, "model string, auroc double, deviation double")
 
 
 @query()
 def cv_mse(t):
-    rows = stable(prep.kfold(order_features(t), "o_orderkey", 5))
+    rows = stable(prep.kfold(order_features(t), "o_orderkey", 10))
     columns = ["quantity", "price", "lines"]
     found = []
     made = {
         "least_squares": lambda train: models.prepared(columns, models.least_squares()),
         "ridge": lambda train: models.prepared(columns, models.ridge(*models.label_scale(train))),
     }
-    for name, estimator in made.items():
-        scores = models.cross_validate(rows, estimator, "fold", 5, metric="mse")
-        found += [(name, r["mean"], r["deviation"]) for r in scores]
-    return t.spark.createDataFrame(found, "model string, mse double, deviation double")
+    for target in ("total", "days"):
+        labelled = rows.withColumn("label", F.col(target))
+        for name, estimator in made.items():
+            scores = models.cross_validate(labelled, estimator, "fold", 10, metric="mse")
+            found += [(target, name, r["mean"], r["deviation"]) for r in scores]
+    return t.spark.createDataFrame(found, "target string, model string, mse double, deviation double")
 
 
 @query()
@@ -208,9 +221,8 @@ def pca_project(t):
 @query()
 def pca_sweep(t):
     rows = stable(vectors(t))
-    n = rows.count()
     dims = [2, 4, 8, 12, 16, 24, 32, 40, 48, 56, 64]
-    found = models.pca_sweep(rows.drop("embedding"), "vec_id", dims, lambda d: models.l2_logistic(n))
+    found = models.pca_sweep(rows.drop("embedding"), "vec_id", dims, lambda train: models.l2_logistic(train.count()))
     return t.spark.createDataFrame([(r["dims"], r["retained"], r["auroc"]) for r in found], "dims int, retained double, auroc double")
 
 
