@@ -64,8 +64,7 @@ class PreviousReading(StatefulProcessor):
         self.memory = memory
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # An idle key's state goes after as long as its value would count.
-        self.last = handle.getValueState("last", "ts timestamp, value double", ttlDurationMs=int(self.memory * 1000))
+        self.last = handle.getValueState("last", "ts timestamp, value double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         seen = self.last.get() if self.last.exists() else None
@@ -94,7 +93,7 @@ class PreviousReading(StatefulProcessor):
 
 
 def previous_reading(events: DataFrame, memory: float = 6 * 3600) -> DataFrame:
-    """Carry-forward on a stream; the state of a key without readings for `memory` seconds expires."""
+    """Carry-forward on a stream; idle keys keep one small state row until the query ends."""
     return (
         events.select("user_id", "ts", "value")
         .groupBy("user_id")
@@ -102,7 +101,7 @@ def previous_reading(events: DataFrame, memory: float = 6 * 3600) -> DataFrame:
             PreviousReading(memory),
             outputStructType="user_id long, ts timestamp, value double, previous double",
             outputMode="Append",
-            timeMode="ProcessingTime",
+            timeMode="None",
         )
     )
 
