@@ -120,29 +120,24 @@ def ordered_head(t):
     return t.orders.select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
 
 
-# A stream hands out a window once no row of it can come any more.
-CLOSED = "<= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"
-
-
 @query(
-    f"""SELECT user_id, event_type, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS mean, count(*) AS n
-    FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)
-    HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR {CLOSED}"""
+    """SELECT user_id, event_type, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS mean, count(*) AS n
+    FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)"""
 )
 def stream_hourly(t):
-    feed = live.hourly_stream(live.event_stream(t.spark, t.folder), ["user_id", "event_type"], "value")
-    return rounded(live.stored(feed).withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+    found = live.every_window(t.spark, t.folder, "hour", lambda feed: live.hourly_stream(feed, ["user_id", "event_type"], "value"))
+    return rounded(found.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
 
 
 @query(
-    f"""WITH spread AS (SELECT user_id, date_trunc('hour', ts) - to_hours(CAST(k AS INTEGER)) AS start, value
+    """WITH spread AS (SELECT user_id, date_trunc('hour', ts) - to_hours(CAST(k AS INTEGER)) AS start, value
       FROM events, range(6) r(k))
     SELECT user_id, start, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high, count(*) AS n
-    FROM spread GROUP BY user_id, start HAVING start + INTERVAL 6 HOUR {CLOSED}"""
+    FROM spread GROUP BY user_id, start"""
 )
 def stream_sliding(t):
-    feed = live.event_stream(t.spark, t.folder).withWatermark("ts", "2 hours")
-    found = live.stored(live.sliding(feed, ["user_id"], "value"))
+    windows = lambda feed: live.sliding(feed.withWatermark("ts", "2 hours"), ["user_id"], "value")
+    found = live.every_window(t.spark, t.folder, "start", windows)
     return rounded(found.withColumn("start", F.col("start").cast("timestamp_ntz")), keep=("low", "high"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import pandas as pd
@@ -20,6 +20,12 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def event_rows(spark: SparkSession, folder: str, glob: str = "events.parquet", schema: str = EVENTS) -> DataFrame:
+    """The rows of `event_stream` as a batch frame."""
+    raw = spark.read.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def hourly_stream(events: DataFrame, by: list[str], value: str, late: str = "2 hours") -> DataFrame:
     """Tumbling hourly mean and count per key, with a bound on late data."""
     return (
@@ -118,6 +124,21 @@ def stored(stream: DataFrame) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
+def every_window(
+    spark: SparkSession, folder: str, start: str, windows: Callable[[DataFrame], DataFrame], glob: str = "events.parquet"
+) -> DataFrame:
+    """All windows of a feed: those its stream has closed (`stored`), and from a batch run of the same operator those that
+    are still open behind the watermark.
+
+    A stream closes windows of one length in the order of their starts, so what starts after its last one is open.
+    """
+    closed = stored(windows(event_stream(spark, folder, glob)))
+    # As a number, since a local time can be ambiguous.
+    last = closed.agg(F.max(F.unix_micros(start))).first()[0]
+    still = windows(event_rows(spark, folder, glob))
+    return closed.unionByName(still if last is None else still.where(F.unix_micros(start) > last))
+
+
 def drain(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Run a stream over what is there now into a table in the driver's memory: for small feeds only, see `stored`."""
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from icuflow.operators import ordered
 from icuflow.sources import io
 from icuflow.sources.schema import CLINICAL, EVENTS
@@ -86,6 +87,26 @@ def test_append_stream_leaves_open_windows_out(spark):
     assert closed == every and 0 < batch - closed <= 20
 
 
+def test_stream_queries_return_every_window(spark):
+    events = spark.read.schema(EVENTS).parquet(f"{SF}/events.parquet")
+    hour = F.date_trunc("hour", "ts")
+    hours = events.groupBy("user_id", "event_type", hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    got = queries()["stream_hourly"](spark, SF).select(hours.columns)
+    assert sorted(got.collect()) == sorted(hours.select("user_id", "event_type", F.col("hour").cast("timestamp_ntz"), "n").collect())
+    starts = events.select("user_id", F.explode(F.sequence(hour - F.expr("INTERVAL 5 HOURS"), hour, F.expr("INTERVAL 1 HOUR"))).alias("start"))
+    starts = starts.groupBy("user_id", F.col("start").cast("timestamp_ntz").alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    got = queries()["stream_sliding"](spark, SF).select(starts.columns)
+    assert sorted(got.collect()) == sorted(starts.collect())
+
+
+def test_a_feed_without_closed_windows_is_whole(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "2024-01-01 00:10:00"), (2, "2024-01-01 01:20:00")], "event_id long, ts string")
+    rows = rows.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.lit(7).cast("long").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    rows.write.parquet(str(tmp_path / "feed"))
+    got = live.every_window(spark, str(tmp_path / "feed"), "hour", lambda feed: live.hourly_stream(feed, ["user_id"], "value"), "*.parquet")
+    assert sorted(r["hour"].hour for r in got.collect()) == [0, 1]
+
+
 def test_sliding_windows_are_time_frames(spark):
     rows = spark.createDataFrame([(1, "2024-01-01 00:10:00", 1.0), (1, "2024-01-01 05:50:00", 3.0)], "k int, ts string, v double")
     got = live.sliding(rows.withColumn("ts", F.col("ts").cast("timestamp")), ["k"], "v").collect()
