@@ -164,6 +164,49 @@ def test_quality(spark, odd, none):
     assert {r["score"] for r in quality.classify(odd, empty).collect()} == {0.5}
 
 
+def test_licenses_across_and_inside_lines(spark):
+    import textwrap
+
+    permission, header, short = licenses.TEMPLATES[2][1], licenses.TEMPLATES[6][1], "Licensed under CC BY 4.0"
+    wrapped = lambda text: textwrap.fill(text, 78)
+    prose = "\n".join([PROSE] * 60)
+    full = [x for x in licenses.TEMPLATES if len(x[1]) > 600]
+    texts = {
+        1: (f"{prose}\n{wrapped(permission)}\n{prose}", ["MIT"]),
+        2: (f"{prose}\n{wrapped(header)}\n{prose}\n{wrapped(permission)}", ["GPL-3.0", "MIT"]),
+        3: (f"{PROSE} {PROSE} {short} and {PROSE} {PROSE}", ["CC-BY-4.0"]),
+        4: (f"{prose}\nThis work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.\n{prose}", ["CC-BY-SA-4.0"]),
+        5: (f"{prose}\n{prose}", []),
+    }
+    for k, (name, text) in enumerate(full, 10):
+        texts[k] = (f"Copyright (c) 2001 A Person\n\n{wrapped(text)}\n", [name])
+        texts[k + 10] = (f"{prose}\n{wrapped(text)}\n{prose}", [name])
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["notices"] for r in licenses.scan(docs).collect()}
+    assert len(full) == 4
+    assert {k: sorted(n["license"] for n in x) for k, x in got.items()} == {k: x for k, (_, x) in texts.items()}
+    assert got[1][0]["line"] == 60 and got[1][0]["dice"] == 1
+
+
+def test_license_passages_are_the_windows_of_brute_force():
+    own, draw = licenses.Templates(licenses.TEMPLATES, 0.8), random.Random(5)
+    pool = [re.findall("[a-z0-9]+", t.lower()) for _, t in licenses.TEMPLATES]
+    for _ in range(30):
+        words = []
+        for _ in range(4):
+            words += [w for w in draw.choice(pool) if draw.random() > 0.03] + draw.choices(PROSE.lower().split(), k=5)
+        pairs, slow = list(zip(words, words[1:])), set()
+        for number, there in enumerate(own.bigrams):
+            size = own.sizes[number]
+            for k in range(len(pairs) - size + 1):
+                common = (Counter(pairs[k : k + size]) & there).total()
+                if common >= 0.8 * size - 1e-9:
+                    slow.add((number, common))
+        fast = {(number, common) for _, number, _, _, common in own.passages(words)}
+        best = lambda x: {n: max(c for m, c in x if m == n) for n, _ in x}
+        assert best(fast) == best(slow)
+
+
 def test_licenses(odd, none, spark):
     text = "Prose before.\nReleased under the MIT License\nlicensed under cc by-nc 4.0!"
     docs = spark.createDataFrame([(1, text), (2, "This is no licence of ours."), (3, None)], "doc_id long, text string")
