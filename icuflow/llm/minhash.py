@@ -82,7 +82,8 @@ def _points(out: np.ndarray, elements: np.ndarray, counts: np.ndarray, start: in
         some = max(1, 2 * slots // len(seed))
         drawn = mix(seed[:, None] + np.arange(number, number + some, dtype=np.uint64) * _GOLD)
         share = ((drawn >> _U64(11)).astype(np.float64) + 1) / (1 << 53)
-        times = time[:, None] + np.cumsum(-np.log(share) / (slots * width), axis=1)
+        # One sum from the first point on, so that its last bits do not depend on how many points come at a time.
+        times = np.cumsum(np.hstack([time[:, None], -np.log(share) / (slots * width)]), axis=1)[:, 1:]
         place = mix(drawn ^ _GOLD)
         unit = start + (place >> _U64(32)).astype(np.int64) % width
         there = (times <= until) & (unit < counts[:, None])

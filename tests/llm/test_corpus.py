@@ -388,3 +388,14 @@ def test_signatures_estimate_weighted_similarity():
     slots = 2000
     agree = (minhash.signature(elements, a, slots) == minhash.signature(elements, b, slots)).mean()
     assert abs(agree - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.05
+
+
+def test_short_near_copies_agree_in_their_share_of_slots():
+    """A set and its 80 % part, whose processes are drawn in chunks of different widths."""
+    draw, agree = np.random.default_rng(6), []
+    for _ in range(400):
+        whole = draw.integers(0, 1 << 62, 5 * draw.integers(4, 21), dtype=np.uint64)
+        part = whole[: len(whole) * 4 // 5]
+        one = lambda x: np.ones(len(x), dtype=np.int64)
+        agree.append((minhash.signature(whole, one(whole), 144) == minhash.signature(part, one(part), 144)).mean())
+    assert abs(np.mean(agree) - 0.8) < 0.01
