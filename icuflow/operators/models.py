@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.operators.prep import bootstrap, hash_split
+from icuflow.session import stable
 
 
 def l2_logistic(n: int, c: float = 0.1, tol: float = 1e-3) -> LogisticRegression:
@@ -166,30 +167,31 @@ def cross_validate(
     folds: str,
     k: int,
     metric: str = "areaUnderROC",
-    grid: Sequence[Mapping] | None = None,
+    grid: Sequence[Mapping] | Callable[[DataFrame], Sequence[Mapping]] | None = None,
     parallelism: int = 4,
 ) -> list[dict]:
     """Per grid cell: the metric on every fold, its mean and deviation.
 
     Folds come from a column, so they can be stratified and repeated. Each fold trains on the
     rows outside it; `parallelism` folds submit their jobs at a time. `df` should be a stored
-    frame, as it is read once per fit.
+    frame, as it is read once per fit. A grid that depends on the training rows is a function
+    of them, with as many cells for every fold; `params` are then those of the first fold.
     """
     if metric in ("areaUnderROC", "areaUnderPR"):
         evaluator = BinaryClassificationEvaluator(metricName=metric, numBins=0)
     else:
         evaluator = RegressionEvaluator(metricName=metric)
-    cells = list(grid) if grid else [{}]
 
-    def one_fold(i: int) -> list[float]:
+    def one_fold(i: int) -> tuple[list[Mapping], list[float]]:
         train, test = df.filter(F.col(folds) != i), df.filter(F.col(folds) == i)
         made = _made(estimator, train)
-        return [float(evaluator.evaluate(made.fit(train, cell).transform(test))) for cell in cells]
+        cells = list(grid(train) if callable(grid) else grid or [{}])
+        return cells, [float(evaluator.evaluate(made.fit(train, cell).transform(test))) for cell in cells]
 
     with ThreadPool(parallelism) as pool:
         per_fold = pool.map(inheritable_thread_target(df.sparkSession)(one_fold), range(k))
     found = []
-    for cell, values in zip(cells, zip(*per_fold)):
+    for cell, values in zip(per_fold[0][0], zip(*[values for _, values in per_fold], strict=True), strict=True):
         found.append(
             {
                 "params": {p.name: v for p, v in cell.items()},
@@ -207,19 +209,27 @@ def best_fit(df: DataFrame, estimator: Estimator, found: Sequence[Mapping], larg
     return estimator.fit(df, {estimator.getParam(n): v for n, v in best["params"].items()})
 
 
-def repeated_auroc(df: DataFrame, estimator: Estimator, key: str, size: int, seeds: Sequence[int]) -> list[dict]:
-    """AUROC of `size`-row bootstrap samples, half for training, one result per seed.
+def repeated_auroc(
+    df: DataFrame, estimator: Estimator | Mapping[str, Estimator], key: str, size: int, seeds: Sequence[int], parallelism: int = 4
+) -> list[dict]:
+    """AUROC of `size`-row bootstrap samples, half for training, one result per seed, or one per seed and model for several
+    named estimators, which all see the same samples. `parallelism` seeds submit their jobs at a time.
 
     Rows are split by key before drawing, so no row is in both halves.
     """
     parts = hash_split(df, key, 0.5, "_split")
     halves = [parts.filter(F.col("_split") == s).drop("_split") for s in ("train", "test")]
-    found = []
-    for seed in seeds:
-        train, test = (bootstrap(h, key, size // 2, seed) for h in halves)
-        area = BinaryClassificationEvaluator(numBins=0).evaluate(_made(estimator, train).fit(train).transform(test))
-        found.append({"seed": int(seed), "auroc": float(area)})
-    return found
+
+    def one_seed(seed: int) -> list[dict]:
+        train, test = (stable(bootstrap(h, key, size // 2, seed)) for h in halves)
+        score = lambda e: float(BinaryClassificationEvaluator(numBins=0).evaluate(_made(e, train).fit(train).transform(test)))
+        if not isinstance(estimator, Mapping):
+            return [{"seed": int(seed), "auroc": score(estimator)}]
+        return [{"seed": int(seed), "model": name, "auroc": score(e)} for name, e in estimator.items()]
+
+    with ThreadPool(parallelism) as pool:
+        per_seed = pool.map(inheritable_thread_target(df.sparkSession)(one_seed), seeds)
+    return [r for found in per_seed for r in found]
 
 
 def fourier_features(df: DataFrame, vector: str, dims: int, width: float, count: int = 256, seed: int = 0) -> DataFrame:

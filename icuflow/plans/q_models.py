@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,14 +183,30 @@ def cv_mse(t):
     return t.spark.createDataFrame(found, "target string, model string, mse double, deviation double")
 
 
+#: The reference's grids: penalties of the linear model; penalties and widths of the kernel model.
+LINEAR_C = (0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0)
+KERNEL_C = (0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0)
+KERNEL_WIDTHS = (1.0, 10.0)
+
+
 @query()
 def grid_search(t):
-    rows = stable(prep.stratified_folds(vectors(t), "label", "vec_id", 3))
-    n = rows.count()
-    estimator = models.l2_logistic(n)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [1 / (c * n) for c in (0.01, 0.1, 1.0)]).build()
-    found = models.cross_validate(rows, estimator, "fold", 3, grid=grid)
-    return t.spark.createDataFrame([(1 / (r["params"]["regParam"] * n), r["mean"], r["deviation"]) for r in found], "c double, auroc double, deviation double")
+    rows = stable(prep.stratified_folds(vectors(t), "label", "vec_id", 10))
+    estimator = models.l2_svm(1)
+
+    def searched(rows, model, width, weights):
+        def grid(train):
+            n = train.count()
+            return [{estimator.regParam: 1 / (c * n)} for c in weights]
+
+        found = models.cross_validate(rows, estimator, "fold", 10, grid=grid, parallelism=8)
+        return [(model, c, width, r["mean"], r["deviation"]) for c, r in zip(weights, found, strict=True)]
+
+    cells = searched(rows, "linear", None, LINEAR_C)
+    for width in KERNEL_WIDTHS:
+        mapped = stable(models.fourier_features(rows.drop("features"), "embedding", DIMS, width=width))
+        cells += searched(mapped, "kernel", width, KERNEL_C)
+    return t.spark.createDataFrame(cells, "model string, c double, width double, auroc double, deviation double")
 
 
 @query(
@@ -229,9 +244,13 @@ def pca_sweep(t):
 @query()
 def repeat_eval(t):
     rows = stable(vectors(t))
-    n = rows.count()
-    found = models.repeated_auroc(rows, lambda train: models.l2_logistic(train.count()), "vec_id", 2 * n, range(10))
-    return t.spark.createDataFrame([(r["seed"], r["auroc"]) for r in found], "seed int, auroc double")
+    made = {
+        "linear_svm": lambda train: models.l2_svm(train.count()),
+        "logistic": lambda train: models.l2_logistic(train.count()),
+        "forest": models.forest(),
+    }
+    found = models.repeated_auroc(rows, made, "vec_id", 2 * rows.count(), range(10))
+    return t.spark.createDataFrame([(r["seed"], r["model"], r["auroc"]) for r in found], "seed int, model string, auroc double")
 
 
 @query(

@@ -140,3 +140,41 @@ def test_knn_votes(spark):
     asked = spark.createDataFrame([(1, [0.0]), (3, [5.0])], "id long, v array<double>")
     got = {r["id"]: r["prediction"] for r in neighbours.knn_classify(asked, train, "id", "v", "label").collect()}
     assert got == {1: 1, 3: 0}
+
+
+def test_grid_may_depend_on_the_training_rows(blobs):
+    rows = blobs.select("id", "features", "label").withColumn("fold", (F.col("id") % 4).cast("int"))
+    estimator, seen = models.l2_logistic(1), []
+
+    def grid(train):
+        seen.append(train.count())
+        return [{estimator.regParam: 1 / (c * seen[-1])} for c in (0.1, 1.0)]
+
+    found = models.cross_validate(rows, estimator, "fold", 4, grid=grid)
+    assert sorted(seen) == sorted(rows.count() - rows.filter(F.col("fold") == i).count() for i in range(4))
+    assert len(found) == 2 and all(len(r["folds"]) == 4 for r in found)
+
+
+def test_repeated_evaluation_of_several_models(blobs):
+    made = {"one": models.l2_logistic(200), "two": lambda train: models.l2_svm(train.count())}
+    found = models.repeated_auroc(blobs.select("id", "features", "label"), made, "id", 400, [1, 2])
+    assert [(r["seed"], r["model"]) for r in found] == [(1, "one"), (1, "two"), (2, "one"), (2, "two")]
+    assert all(0.5 < r["auroc"] <= 1 for r in found)
+
+
+def test_grid_search_covers_the_reference_grids(spark, monkeypatch):
+    from __spark_entry__ import queries
+
+    def cells_only(df, estimator, folds, k, grid, parallelism):
+        assert k == 10 and df.select(folds).distinct().count() == 10
+        train = df.filter(F.col(folds) != 0)
+        n = train.count()
+        return [{"mean": 1 / (r[estimator.regParam] * n), "deviation": 0.0} for r in grid(train)]
+
+    monkeypatch.setattr(models, "cross_validate", cells_only)
+    got = queries()["grid_search"](spark, "/root/testdata/sf0.001").collect()
+    assert all(abs(r["auroc"] - r["c"]) < 1e-9 * r["c"] for r in got)
+    cells = {(r["model"], r["width"]): 0 for r in got}
+    for r in got:
+        cells[r["model"], r["width"]] += 1
+    assert cells == {("linear", None): 10, ("kernel", 1.0): 8, ("kernel", 10.0): 8}
