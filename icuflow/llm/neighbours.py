@@ -4,7 +4,7 @@ In a tile every vector is scaled to length 1 and rounded to int8 steps of its ow
 vectors, exact in its arithmetic, differs from the cosine by no more than what rounding took from either side, which is
 known per vector. A pair whose upper bound is below the k-th best lower bound of its query cannot be among its k best;
 the others are computed in doubles from the vectors themselves. Equal vectors in a block are treated as one, with the
-smallest ids that could count, so a vector that very many rows share costs as much as any other.
+smallest different ids that could count, so a vector that very many rows share costs as much as any other.
 """
 
 from __future__ import annotations
@@ -54,13 +54,17 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _different(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the rows that can count: of equal vectors those with the k + 1 smallest ids (ids are ascending)."""
+    """Positions of the rows that can count: of equal vectors those with the k + 1 smallest different ids, of each id the
+    first k rows (ids are ascending). A query leaves its own id out, and k rows of other ids are left if there are as many."""
     packed = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
     _, group = np.unique(packed, return_inverse=True)
     order = np.argsort(group, kind="stable")
-    first = np.flatnonzero(np.diff(group[order], prepend=-1))
-    place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
-    return np.sort(order[place <= k])
+    new = np.diff(group[order], prepend=-1) != 0
+    other = new | (np.diff(ids[order], prepend=ids[order][:1]) != 0)
+    nth = np.cumsum(other)
+    nth -= nth[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(other, np.arange(len(order)), 0))
+    return np.sort(order[(nth <= k) & (place < k)])
 
 
 def cosine_tile(query_ids, queries, ids, vectors, k):

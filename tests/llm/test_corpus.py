@@ -399,3 +399,28 @@ def test_short_near_copies_agree_in_their_share_of_slots():
         one = lambda x: np.ones(len(x), dtype=np.int64)
         agree.append((minhash.signature(whole, one(whole), 144) == minhash.signature(part, one(part), 144)).mean())
     assert abs(np.mean(agree) - 0.8) < 0.01
+
+
+def test_nearest_of_repeated_rows(spark):
+    """A query row ten times beside equal vectors of other ids, one of them repeated too."""
+    draw = np.random.default_rng(8)
+    same = [1.0, 2.0, 3.0, 4.0]
+    rows = [(50, same)] * 10 + [(7, same), *[(60, same)] * 9, (61, same)] + [(100 + i, list(map(float, x))) for i, x in enumerate(draw.normal(size=(40, 4)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k in (1, 5, 12, 30):
+        got = collected(neighbours.nearest(frame.where("vec_id < 100"), F.col("vec_id") == 7, k), "query_id", "rank", "vec_id")
+        expected = [50] * 10 + [60] * 9 + [61]
+        assert sorted(got) == [(7, n, i) for n, i in enumerate(expected[:k], 1)]
+    # The repeated query asks ten times: as in the SQL, each of its pairs is a row.
+    got = collected(neighbours.nearest(frame, F.col("vec_id") == 50), "query_id", "rank", "vec_id")
+    assert sorted(got) == [(50, n, 7) for n in range(1, 6)]
+    once = frame.where("vec_id <> 7 and vec_id <> 60").withColumn("ask", F.col("vec_id") == 50)
+    got = collected(neighbours.nearest(once, F.col("ask")), "query_id", "rank", "vec_id")
+    assert sorted(got) == [(50, n, 61) for n in range(1, 6)]
+
+
+def test_rows_that_can_count_are_chosen_by_different_ids():
+    ids = np.array([1] * 7 + [2] * 3 + [3, 4, 5, 6])
+    vectors = np.ones((len(ids), 2))
+    vectors[-1] = 2
+    assert ids[neighbours._different(ids, vectors, 2)].tolist() == [1, 1, 2, 2, 3, 6]
