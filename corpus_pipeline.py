@@ -34,11 +34,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the smallest id; rows without an id all stay."""
+    """One document of each near-duplicate class, the one with the smallest id; classes without an id keep one too."""
     small_batches(spark)
-    classed = minhash.classes(docs)
-    gone = classed.where(F.col("doc_id") != F.col("class_id")).select("doc_id")
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
+    return minhash.firsts(docs.select(COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -262,6 +262,31 @@ def classes(
     empty one. Words are what white space parts, in lower case; a text of fewer words than a shingle is one shingle.
     Counted multisets of shingles are compared, and two documents are linked at `similarity` or more.
     """
+    signed, named = _classed(docs, similarity, words, number, rows, text, doc_id)
+    return signed.join(named, "node").select(F.col("_id").alias(doc_id), "class_id")
+
+
+def firsts(
+    docs: DataFrame, similarity: float = 0.8, words: int = 5, number: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """One row of `docs` for each class: that of the smallest id, of rows that share this id that of the smallest hash, and
+    one of repeated rows. In a class without ids it is a row of the smallest hash."""
+    signed, named = _classed(docs, similarity, words, number, rows, text, doc_id)
+    key = ["_key", "node"]
+    row = signed.withColumn("_key", F.coalesce("_id", F.lit(-(2**63)))).groupBy(*key, F.col("_id").isNull().alias("_none"))
+    row = row.agg(F.count(F.lit(1)).alias("_n")).join(named, "node")
+    best = row.groupBy("root").agg(F.min(F.struct("_none", *key, "_n")).alias("best"))
+    best = written(best.select("best._none", *[f"best.{c}" for c in key], "best._n"))
+    own = docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))))
+    own = own.withColumn("_none", F.col(doc_id).isNull()).withColumn("node", F.unhex(F.md5(text_of(text))))
+    found = own.join(best, [*key, "_none"])
+    # Only rows that are repeated are brought together, and no more than one of each leaves a task.
+    again = found.where(F.col("_n") > 1).dropDuplicates([*key, "_none"])
+    return found.where(F.col("_n") == 1).unionByName(again).select(docs.columns)
+
+
+def _classed(docs: DataFrame, similarity: float, words: int, number: int, rows: int, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """`_id` and `node` of every row; `node`, `root` and `class_id` of every text."""
     given = docs.select(F.col(doc_id).cast("long").alias("_id"), text_of(text).alias("_text"))
     given = given.withColumn("node", F.unhex(F.md5("_text")))
     signed = written(
@@ -288,5 +313,4 @@ def classes(
         .select("node", "least", F.coalesce("root", "node").alias("root"))
     )
     smallest = classed.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = classed.join(smallest, "root").select("node", "class_id")
-    return signed.select("_id", "node").join(named, "node").select(F.col("_id").alias(doc_id), "class_id")
+    return signed.select("_id", "node"), classed.join(smallest, "root").select("node", "root", "class_id")

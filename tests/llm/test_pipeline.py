@@ -93,3 +93,15 @@ def test_packing(spark, stages):
             part = np.array(ids[r["start"] : r["start"] + r["length"]], dtype="<u4").tobytes()
             assert r["ids_crc32"] == zlib.crc32(part)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+def test_near_copies_of_shared_and_missing_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    near, clean = " ".join([*base[:79], "x"]), " ".join(f"v{i}" for i in range(80))
+    alone = " ".join(f"u{i}" for i in range(80))
+    rows = [(1, " ".join(base)), (5, near), (5, clean), (None, near), (None, alone), (None, alone), (7, "same"), (7, "same"), (8, "same")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert got.columns == corpus_pipeline.COLUMNS
+    left = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+    assert left == sorted([(1, " ".join(base)), (5, clean), (None, alone), (7, "same")], key=repr)
