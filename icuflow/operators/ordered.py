@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from icuflow.session import stable
@@ -199,13 +199,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def hashed_position(df: DataFrame, key: str, strata: Sequence[str] = (), out: str = "position", digits: int = 3) -> DataFrame:
+def bin_digits(spark: SparkSession) -> int:
+    """Hex digits that make 4,096 bins, or 16 for each shuffle partition if that is more."""
+    digits = 3
+    while 16**digits < 16 * int(spark.conf.get("spark.sql.shuffle.partitions")):
+        digits += 1
+    return digits
+
+
+def hashed_position(df: DataFrame, key: str, strata: Sequence[str] = (), out: str = "position", digits: int | None = None) -> DataFrame:
     """1-based row number in md5(key) order, per stratum.
 
     md5 spreads the rows evenly, so its first hex digits cut the order into 16**digits even
     bins without sampling: rows are numbered within a bin and shifted by the bins before it.
+    Their number follows the session's shuffle partitions, see `bin_digits`; the result does not.
     `key` must be unique within a stratum for the result to be reproducible.
     """
+    digits = bin_digits(df.sparkSession) if digits is None else digits
     binned = df.withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn(
         "_bin", F.substring("_hash", 1, digits)
     )

@@ -96,6 +96,22 @@ def test_hashed_position_is_md5_row_number(skewed, strata):
     assert rows_of(got, "id", "position") == rows_of(expected, "id", "position")
 
 
+def test_hashed_bins_follow_the_shuffle_partitions(spark, skewed):
+    before, number = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    expected = rows_of(ordered.hashed_position(skewed, "id", ["n"], digits=1), "id", "position")
+    try:
+        for n in (8, 256, 257, 5000):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            number[n] = ordered.bin_digits(spark)
+        spark.conf.set("spark.sql.shuffle.partitions", 257)
+        found = ordered.hashed_position(skewed, "id", ["n"])
+        assert "_hash" in found._jdf.queryExecution().toString() and ", 1, 4)" in found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert number == {8: 3, 256: 3, 257: 4, 5000: 5}
+    assert rows_of(found, "id", "position") == expected
+
+
 @pytest.mark.parametrize("inclusive", [False, True])
 @pytest.mark.parametrize("pieces", [None, 6])
 def test_latest_before_matches_brute_force(spark, inclusive, pieces):
