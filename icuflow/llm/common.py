@@ -13,6 +13,8 @@ from icuflow.session import shared_dir
 
 #: Rows that travel to a Python worker at once. Texts are of any length, so batches are kept short.
 BATCH_ROWS = 256
+#: Bytes of them: a few very long texts are a batch of their own.
+BATCH_BYTES = 64 << 20
 
 _KEPT: dict[str, Any] = {}
 
@@ -25,8 +27,9 @@ def kept(key: str, build: Callable[[], Any]) -> Any:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold the Arrow batches of this session to BATCH_ROWS rows."""
+    """Hold the Arrow batches of this session to BATCH_ROWS rows and BATCH_BYTES bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame) -> DataFrame:

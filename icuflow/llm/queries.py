@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, licenses, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
+from icuflow.llm import bpe, exact_dedup, licenses, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,19 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["license"]))), ",").alias("licenses"),
         F.coalesce(F.array_max(F.transform("notices", lambda n: n["dice"])), F.lit(0.0)).alias("best_dice"),
     )
+
+
+@query(
+    r"""
+WITH normal AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
+FROM normal
+"""
+)
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The row that stays for every document, of those equal but for white space."""
+    found = exact_dedup.dedupe(documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
