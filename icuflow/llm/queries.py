@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, exact_dedup, licenses, line_dedup, minhash, neighbours, packing, quality, secrets, token_count, topk
+from icuflow.llm import bpe, exact_dedup, licenses, line_dedup, minhash, neighbours, packing, quality, runs, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +231,88 @@ def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The row that stays for every document, of those equal but for white space."""
     found = exact_dedup.dedupe(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+#: CRC-32 of the decimal digits of doc_id: every byte is mixed in and then shifted out bit by bit.
+_CRC32 = """xor(list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda d: list_concat([CAST(ascii(d) AS BIGINT)], [0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+@query(
+    rf"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, {_CRC32} AS h
+  FROM documents
+), placed AS (
+  SELECT *, h // 10 AS g, len(w) AS n FROM split
+), cut AS (
+  SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM placed
+), doc AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_concat(w[1:a], list_transform(range(a, n), lambda i: w[a + (i - a) % p + 1])) ELSE w END AS w FROM cut
+), word AS (
+  SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i, w FROM doc
+), context AS (
+  -- A run of period q holds the 16 words of some place again q words later.
+  SELECT doc_id, n, i, hash(w[i + 1:i + 16]) AS h FROM word WHERE i + 16 <= n AND n >= 24
+), proposed AS (
+  SELECT DISTINCT x.doc_id, y.i - x.i AS q FROM context x JOIN context y ON x.doc_id = y.doc_id AND x.h = y.h
+  WHERE y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), alike AS (
+  SELECT p.doc_id, p.q, x.i, x.i - row_number() OVER (PARTITION BY p.doc_id, p.q ORDER BY x.i) AS island
+  FROM proposed p JOIN word x ON p.doc_id = x.doc_id JOIN word y ON y.doc_id = x.doc_id AND y.i = x.i + p.q AND y.word = x.word
+), stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM alike GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)
+), run AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length
+), best AS (
+  SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id
+    ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS all_runs
+  FROM run GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT w.doc_id, w.i FROM run r JOIN word w ON r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length
+), rest AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS kept FROM word w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i
+  GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(l.all_runs, '')) AS runs_sha256, sha256(coalesce(r.kept, '')) AS collapsed_sha256
+FROM doc d LEFT JOIN listed l ON d.doc_id = l.doc_id LEFT JOIN best b ON d.doc_id = b.doc_id LEFT JOIN rest r ON d.doc_id = r.doc_id
+"""
+)
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every whole text, of which a tenth is first made periodic from a word on, as the contract says."""
+    return run_digests(runs.detect(made_periodic(documents(spark, folder).select("doc_id", "text"))))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """Of documents whose hash h ends in 0 the words from a on are replaced by repetitions of the first p of them. Rows
+    without an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, a, p, g = F.col("_n"), F.col("_a"), F.col("_p"), F.floor(h / 10)
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    rows = docs.withColumn("_words", F.when(h % 10 == 0, split)).withColumn("_n", F.size("_words").cast("long"))
+    rows = rows.withColumn("_a", F.when(n > 0, g % n)).withColumn("_p", 1 + F.floor((n - a) / (3 + g % 8)))
+    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get("_words", (a + (i - a) % p).cast("int")))
+    words = F.concat(F.slice("_words", F.lit(1), a.cast("int")), tail)
+    return rows.select("doc_id", F.when(n > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Number of runs, the one of greatest exponent (the first of equals), digests of all runs and of what is left."""
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = F.reduce("runs", none, lambda best, r: F.when(more(best, r), r).otherwise(best))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
