@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm import bpe, exact_dedup, licenses, line_dedup, minhash, neighbours, packing, quality, runs, secrets, token_count, topk
+from icuflow.llm import bpe, collocations, exact_dedup, licenses, line_dedup, minhash, neighbours, packing, quality, runs, secrets, token_count, topk
 from icuflow.llm.common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -316,3 +316,44 @@ def run_digests(found: DataFrame) -> DataFrame:
         F.sha2("listed", 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece
+), gram AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM split, (VALUES (1), (2), (3)) AS s(size) WHERE len(w) >= size
+), f AS (
+  SELECT lang, size, phrase, count(*) AS a FROM gram GROUP BY ALL
+), total AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), candidate AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10
+), cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS last
+  FROM candidate, range(1, 3) AS r(k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r,
+    CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM cut c JOIN f l ON c.lang = l.lang AND c.first = l.phrase JOIN f r ON c.lang = r.lang AND c.last = r.phrase
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, array_to_string(w[j:j + 1], ' ') AS phrase, max(a) AS most
+  FROM candidate, range(1, 3) AS r(j) WHERE size = 3 GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM lowest s JOIN total USING (lang) LEFT JOIN longer g ON s.lang = g.lang AND s.phrase = g.phrase
+WHERE g.most IS NULL OR 100 * g.most < 50 * a
+QUALIFY rank <= 2000
+"""
+)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest phrases of two or three words of each language."""
+    return collocations.mine(documents(spark, folder).select("text", "lang"))
