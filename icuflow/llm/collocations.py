@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from icuflow.llm.common import text_of, written
 
 #: Words from which a task builds one shard, and n-grams of all shards that a range holds.
-SHARD, RANGE = 3_000_000, 2_000_000
+SHARD, RANGE = 1_000_000, 2_000_000
 #: Keys from which the borders of a range are taken; words of a shard of texts to a phrase of a reversed one.
 MARKS, DENSER = 8, 12
 #: Bytes whose words are numbered at once.
@@ -68,6 +68,11 @@ class Grams:
         return [b" ".join(self.phrase(depth, int(x))) for x in np.arange(first, len(self.labels[depth]), step)]
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The numbers in 32 bits if they fit."""
+    return x.astype(np.int32) if int(x.max(initial=0)) < 1 << 31 else x
+
+
 def counted(numbers: np.ndarray, words: list[bytes], most: int) -> Grams:
     """The n-grams of up to `most` words in a sequence of numbers of words, -1 where a piece ends."""
     order = sorted(range(len(words)), key=words.__getitem__)
@@ -80,9 +85,9 @@ def counted(numbers: np.ndarray, words: list[bytes], most: int) -> Grams:
     for depth in range(1, most):
         place = np.flatnonzero((node[:-1] >= 0) & (own[depth:] >= 0)) if len(own) > depth else np.zeros(0, dtype=np.int64)
         key, at, n = np.unique(node[place] * base + own[place + depth], return_inverse=True, return_counts=True)
-        out.parents.append(key // base)
-        out.labels.append(key % base)
-        out.weights.append(n)
+        out.parents.append(_narrow(key // base))
+        out.labels.append(_narrow(key % base))
+        out.weights.append(_narrow(n))
         node = np.full(max(0, len(own) - depth), -1, dtype=np.int64)
         node[place] = at
     return out
@@ -152,7 +157,7 @@ def parts(grams: Grams, keys: Sequence[Sequence[bytes]]) -> Iterator[tuple[int,
             Grams(
                 [grams.words[k] for k in used.tolist()],
                 [x[s] - a for x, s, a in zip(grams.parents, some, above, strict=True)],
-                [np.searchsorted(used, x[s]) for x, s in zip(grams.labels, some, strict=True)],
+                [_narrow(np.searchsorted(used, x[s])) for x, s in zip(grams.labels, some, strict=True)],
                 [x[s] for x, s in zip(grams.weights, some, strict=True)],
             ),
         )
@@ -216,19 +221,19 @@ def spelled(packed: bytes) -> Grams:
     words = packed[at : at + n_text].split(b" ") if n_words else []
     at, arrays = at + n_text, []
     for width, length in shape:
-        arrays.append(np.frombuffer(packed, f"<u{width}", length, at).astype(np.int64))
+        arrays.append(np.frombuffer(packed, f"<u{width}", length, at))
         at += width * length
     out, state = Grams(words, [], [], []), np.ones(1, dtype=np.int64)
     for depth in range(n // 4):
         sizes, label, weight, target = arrays[4 * depth : 4 * depth + 4]
         # State 0 has no arcs; the root is state 1 if it has any.
-        start = np.concatenate([[0, 0], np.cumsum(sizes)])
-        sizes = np.concatenate([[0], sizes]) if len(sizes) else np.zeros(2, dtype=np.int64)
+        start = np.concatenate([[0, 0], np.cumsum(sizes, dtype=np.int64)])
+        sizes = np.concatenate([[0], sizes.astype(np.int64)]) if len(sizes) else np.zeros(2, dtype=np.int64)
         own = sizes[state]
         index = np.repeat(start[state] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-        out.parents.append(np.repeat(np.arange(len(state)), own))
-        out.labels.append(label[index])
-        out.weights.append(weight[index])
+        out.parents.append(np.repeat(np.arange(len(state), dtype=np.int32), own))
+        out.labels.append(_narrow(label[index]))
+        out.weights.append(_narrow(weight[index]))
         state = target[index]
     return out
 
