@@ -101,7 +101,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id"
     out; equal scores by the smaller id; all of them if there are fewer than k. Every row is a candidate.
 
     Vectors that are null, empty, all zero or hold a null or a number that is not finite take no part, nor do rows
-    without an id. Only vectors of one width are compared. Rows that share an id leave each other out, and each that
-    asks counts towards the one answer of the id. An empty table gives an empty result. Other columns are not used.
+    without an id. Only vectors of one width are compared. Rows that share an id leave each other out; if several ask, the
+    id has one answer, of k candidate rows by their best cosine with any of its vectors. A repeated candidate counts as
+    often as it comes. An empty table gives an empty result. Other columns are not used.
     """
     return tiles.search(vectors, is_query, cosine_tile, k, "float64", False, id, vector)

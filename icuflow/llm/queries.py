@@ -121,14 +121,14 @@ _FINITE = "len({v}) > 0 AND len(list_filter({v}, lambda x: x IS NULL OR NOT isfi
 @query(
     f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND {_FINITE.format(v="embedding")} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), n AS (
-  SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, x: a + x)) AS size FROM v
+  SELECT vec_id, row, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, x: a + x)) AS size FROM v
 ), pair AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, x: a + x) / (q.size * c.size) AS score
-  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+    max(list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, x: a + x) / (q.size * c.size)) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id, c.row
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pair
 )
@@ -144,11 +144,12 @@ def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS row,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND {_FINITE.format(v="embedding")}
 ), pair AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT)) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id, c.row
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pair
 )

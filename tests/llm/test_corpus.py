@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from icuflow.llm import bpe, licenses, line_dedup, minhash, neighbours, packing, quality, queries, secrets, token_count, topk
+from icuflow.llm import bpe, licenses, line_dedup, minhash, neighbours, packing, quality, queries, secrets, tiles, token_count, topk
 
 SF = "/root/testdata/sf0.001"
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -411,12 +411,46 @@ def test_nearest_of_repeated_rows(spark):
         got = collected(neighbours.nearest(frame.where("vec_id < 100"), F.col("vec_id") == 7, k), "query_id", "rank", "vec_id")
         expected = [50] * 10 + [60] * 9 + [61]
         assert sorted(got) == [(7, n, i) for n, i in enumerate(expected[:k], 1)]
-    # The repeated query asks ten times: as in the SQL, each of its pairs is a row.
+    # A repeated query has one answer.
     got = collected(neighbours.nearest(frame, F.col("vec_id") == 50), "query_id", "rank", "vec_id")
-    assert sorted(got) == [(50, n, 7) for n in range(1, 6)]
+    assert sorted(got) == [(50, n, i) for n, i in enumerate([7, 60, 60, 60, 60], 1)]
     once = frame.where("vec_id <> 7 and vec_id <> 60").withColumn("ask", F.col("vec_id") == 50)
-    got = collected(neighbours.nearest(once, F.col("ask")), "query_id", "rank", "vec_id")
-    assert sorted(got) == [(50, n, 61) for n in range(1, 6)]
+    got = collected(neighbours.nearest(once, F.col("ask"), 1), "query_id", "rank", "vec_id")
+    assert got == [(50, 1, 61)]
+
+
+def best_rows(rows, score, k):
+    """The answers of every id that asks, by its best vector, candidate rows once each."""
+    out = []
+    for q in sorted({i for i, _, asks in rows if asks}):
+        own = [np.array(v) for i, v, asks in rows if i == q and asks]
+        near = sorted((-max(score(a, np.array(v)) for a in own), i) for i, v, _ in rows if i != q)[:k]
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(near, 1)]
+    return out
+
+
+@pytest.mark.parametrize("vectors_of_an_id", [1, 3])
+def test_repeated_queries_have_one_answer(spark, monkeypatch, vectors_of_an_id):
+    """Query ids k + 1 times, alike or of different vectors, beside nearer and farther candidates, some repeated."""
+    draw = np.random.default_rng(vectors_of_an_id)
+    point = lambda: [float(x) for x in draw.integers(-8, 9, 4)]
+    asking = [(i, v, True) for i in (50, 100) for v in [point() for _ in range(vectors_of_an_id)] * 6]
+    asking += [(1, [8.0, 8.0, 8.0, 8.0], False), (2, [8.0, 8.0, 8.0, 8.0], False)] * 2
+    rows = asking + [(200 + int(draw.integers(40)), point(), False) for _ in range(60)]
+    rows = [(i, [x / 256 for x in v], asks) for i, v, asks in rows if any(v)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, asks boolean")
+    # Many small blocks, so that the rows of an id and its candidates are in different tiles.
+    monkeypatch.setattr(tiles, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(tiles, "CANDIDATE_BLOCK", 9)
+
+    def cosine(a, b):
+        dot = lambda x, y: neighbours.dots(x[None], y[None])[0]
+        return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
+
+    got = collected(neighbours.nearest(frame, F.col("asks")), "query_id", "rank", "vec_id", "score")
+    assert sorted(got) == best_rows(rows, cosine, 5)
+    got = collected(topk.top(frame, F.col("asks")), "query_id", "rank", "vec_id", "score")
+    assert sorted(got) == best_rows(rows, lambda a, b: int((a * 256) @ (b * 256)), 5)
 
 
 def test_rows_that_can_count_are_chosen_by_different_ids():
