@@ -3,7 +3,8 @@
 A text's terms are hashed shapes: trigrams of character classes (which tell prose from lists, shouting and symbols in any
 language) and how often its words repeat, in all and at once. The labelled sample's weighted term matrix gives the latent space by its
 singular vectors. The labelled vectors, whose number and width are parameters, are broadcast; every document's cosine to
-every one of them is computed exactly, a block of documents at a time, and its nearest vote with their similarity.
+every one of them is computed exactly, a block of documents at a time, and its nearest vote with a power of their
+similarity, chosen by leaving each labelled row out of its own vote.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ WIDTH = SHAPES + 2 * REPEATS + 1
 #: Labelled rows the classifier is fitted on at most, taken evenly over the ids' hashes.
 SAMPLE = 4096
 LATENT, NEIGHBOURS = 48, 25
-#: Power of the cosine that a neighbour votes with. Any two texts of prose have a high cosine, so that the plain one would
-#: give all neighbours the same say, and a rare label none where few rows are labelled.
-SHARPNESS = 8
+#: Powers of the cosine that a neighbour may vote with. Any two texts of prose have a high cosine, so that the plain one
+#: can give all neighbours the same say, and a rare label none where few rows are labelled. The sample itself decides.
+POWERS = (1, 2, 4, 8, 16)
 #: Documents whose cosines are computed together.
 BLOCK = 64
 
@@ -75,33 +76,54 @@ class Model:
     vectors: np.ndarray
     labels: np.ndarray
     neighbours: int
+    power: int = 1
 
     def latent(self, rows: np.ndarray) -> np.ndarray:
         spread = rows * self.weights @ self.axes
         size = np.linalg.norm(spread, axis=1, keepdims=True)
         return np.divide(spread, size, out=np.zeros_like(spread), where=size > 0)
 
+    def cosines(self, rows: np.ndarray) -> np.ndarray:
+        return np.round(self.latent(rows) @ self.vectors.T, 9)
+
     def score(self, rows: np.ndarray) -> np.ndarray:
-        """The neighbours' labels, weighted by a power of the cosine; equal cosines go by the sample's order. 0.5 without a
-        vote.
-        """
-        if not len(self.labels):
-            return np.full(len(rows), 0.5)
-        cosine = np.round(self.latent(rows) @ self.vectors.T, 9)
-        k = min(self.neighbours, len(self.labels))
-        edge = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
-        above = cosine > edge
-        level = cosine == edge
-        room = k - above.sum(axis=1, keepdims=True)
-        chosen = above | (level & (np.cumsum(level, axis=1) <= room))
-        votes = np.where(chosen, np.maximum(cosine, 0) ** SHARPNESS, 0)
-        total = votes.sum(axis=1)
-        score = np.divide(votes @ self.labels, total, out=np.full(len(rows), 0.5), where=total > 0)
-        return np.clip(score, 0, 1)
+        return voted(self.cosines(rows), self.labels, self.neighbours, self.power)
+
+
+def voted(cosine: np.ndarray, labels: np.ndarray, neighbours: int, power: int) -> np.ndarray:
+    """The labels of each row's nearest, weighted by a power of the cosine; equal cosines go by the sample's order. 0.5
+    without a vote."""
+    if not len(labels):
+        return np.full(len(cosine), 0.5)
+    k = min(neighbours, len(labels))
+    edge = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+    above = cosine > edge
+    level = cosine == edge
+    room = k - above.sum(axis=1, keepdims=True)
+    chosen = above | (level & (np.cumsum(level, axis=1) <= room))
+    votes = np.where(chosen, np.maximum(cosine, 0) ** power, 0)
+    total = votes.sum(axis=1)
+    score = np.divide(votes @ labels, total, out=np.full(len(cosine), 0.5), where=total > 0)
+    return np.clip(score, 0, 1)
+
+
+def sharpest(model: Model, rows: np.ndarray, powers: tuple[int, ...] = POWERS) -> int:
+    """The power by which the labelled rows, each left out of its own vote, score closest to their labels: the mean of both
+    labels' mean squared errors, equal ones by the smaller power."""
+    missed = {power: np.zeros(len(rows)) for power in powers}
+    for first in range(0, len(rows), 8 * BLOCK):
+        part = np.arange(first, min(first + 8 * BLOCK, len(rows)))
+        cosine = model.cosines(rows[part])
+        # A row is no neighbour of its own: at -1 it has no vote even where there are too few others.
+        cosine[np.arange(len(part)), part] = -1
+        for power in powers:
+            missed[power][part] = (voted(cosine, model.labels, model.neighbours, power) - model.labels[part]) ** 2
+    of = [model.labels == label for label in np.unique(model.labels)]
+    return min(powers, key=lambda p: (round(float(np.mean([missed[p][own].mean() for own in of])), 12), p))
 
 
 def fit_rows(rows: np.ndarray, labels: np.ndarray, latent: int = LATENT, neighbours: int = NEIGHBOURS) -> Model:
-    """The latent space of labelled term rows."""
+    """The latent space of labelled term rows, and the power that their votes on one another ask for."""
     if not len(labels):
         return Model(np.ones(WIDTH), np.zeros((WIDTH, 1)), np.zeros((0, 1)), np.zeros(0), neighbours)
     weights = np.log((1 + len(rows)) / (1 + np.count_nonzero(rows, axis=0))) + 1
@@ -109,6 +131,7 @@ def fit_rows(rows: np.ndarray, labels: np.ndarray, latent: int = LATENT, neighbo
     _, axes = np.linalg.eigh(weighted.T @ weighted)
     model = Model(weights, axes[:, ::-1][:, : min(latent, WIDTH)].copy(), np.zeros((0, 1)), labels.astype(float), neighbours)
     model.vectors = model.latent(rows)
+    model.power = sharpest(model, rows)
     return model
 
 

@@ -164,6 +164,64 @@ def test_quality(spark, odd, none):
     assert {r["score"] for r in quality.classify(odd, empty).collect()} == {0.5}
 
 
+def votes(model, text):
+    """A text's score in plain numbers, one labelled row after the other."""
+    row = quality.terms(text).astype("<f4").astype(float) * model.weights
+    own = [float(row @ axis) for axis in model.axes.T]
+    size = sum(x * x for x in own) ** 0.5
+    own = [x / size if size else 0.0 for x in own]
+    near = []
+    for place, vector in enumerate(model.vectors.tolist()):
+        cosine = round(sum(x * y for x, y in zip(own, vector, strict=True)), 9)
+        near.append((-cosine, place, model.labels[place]))
+    near = sorted(near)[: model.neighbours]
+    weights = [max(-c, 0) ** model.power for c, _, _ in near]
+    total = sum(weights)
+    return sum(w * label for w, (_, _, label) in zip(weights, near, strict=True)) / total if total else 0.5
+
+
+def test_quality_votes_are_those_of_brute_force(spark, odd, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for r in queries.op4_quality(spark, SF).collect():
+        assert r["score"] == pytest.approx(votes(model, texts[r["doc_id"]]), abs=1e-6)
+    for r in quality.classify(odd, model).collect():
+        assert r["score"] == pytest.approx(votes(model, r["text"] or ""), abs=1e-6)
+
+
+def test_equal_cosines_vote_in_the_sample_s_order():
+    same = [PROSE] * 4 + ["$$$ %% 1234 ####"] * 2
+    rows = np.array([quality.terms(t) for t in same])
+    model = quality.fit_rows(rows, np.array([1, 0, 0, 1, 0, 0]), neighbours=2)
+    # Of four equal texts the first two vote.
+    assert model.score(rows[:1])[0] == pytest.approx(0.5) and votes(model, PROSE) == pytest.approx(0.5)
+    model = quality.fit_rows(rows, np.array([1, 0, 0, 1, 0, 0]), neighbours=3)
+    assert model.score(rows[:1])[0] == pytest.approx(1 / 3) and votes(model, PROSE) == pytest.approx(1 / 3)
+
+
+def test_the_power_is_chosen_on_the_training_rows_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit(docs, labels)
+    other = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = quality.fit(docs, other)
+    assert model.power in quality.POWERS and again.power == model.power
+    assert (again.vectors == model.vectors).all() and (again.labels == model.labels).all()
+    # Leave-one-out by brute force, over a few rows of the sample.
+    made = np.array([quality.terms(r["text"]) for r in docs.limit(12).collect()])
+    small = quality.fit_rows(made, np.array([0, 1] * 6), neighbours=3)
+    errors = {}
+    for power in quality.POWERS:
+        missed = []
+        for k in range(12):
+            near = sorted((-c, i) for i, c in enumerate(small.cosines(made[k : k + 1])[0].tolist()) if i != k)[:3]
+            weights = [max(-c, 0) ** power for c, _ in near]
+            score = sum(w * small.labels[i] for w, (_, i) in zip(weights, near, strict=True)) / sum(weights)
+            missed.append((score - small.labels[k]) ** 2)
+        errors[power] = (np.mean(missed[::2]) + np.mean(missed[1::2])) / 2
+    assert small.power == min(errors, key=lambda p: (round(errors[p], 12), p))
+
+
 def test_licenses_across_and_inside_lines(spark):
     import textwrap
 
