@@ -54,6 +54,24 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*clash) if clash else df
 
 
+#: Keys that more than this part of all rows hold are looked up by broadcast: there are fewer of them than its inverse,
+#: whatever the input, and the rows of any other key fit into a task.
+HOT_PART = 1 / 1000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, often: str, count: int, how: str = "left", part: float = HOT_PART) -> DataFrame:
+    """`rows` (with null keys only if `how` is left) joined with `table`, which has one row per key and in `often` at least
+    the number of rows that hold it, of `count` in all. No key's rows meet in one task: hot keys are broadcast, the others
+    shuffled."""
+    names = [c for c in table.columns if c != key]
+    hot = F.col(often) > F.lit(count * part)
+    few = F.broadcast(table.where(hot).select(key, *[F.col(c).alias(f"_hot_{c}") for c in names]))
+    both = rows.join(few, key, "left")
+    met = both.where(F.col(f"_hot_{often}").isNotNull()).select(*rows.columns, *[F.col(f"_hot_{c}").alias(c) for c in names])
+    rest = both.where(F.col(f"_hot_{often}").isNull()).select(rows.columns).join(table.where(~hot), key, how)
+    return met.unionByName(rest.select(*rows.columns, *names))
+
+
 #: What names a row where documents are joined with something derived from them: rows equal in both are equal in all
 #: that is derived, so a repeated row gets the same result.
 ROW = ("_llm_doc", "_llm_row")

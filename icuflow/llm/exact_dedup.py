@@ -13,13 +13,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import text_of, written
+from icuflow.llm.common import HOT_PART, looked_up, text_of, written
 from icuflow.session import shared_dir
 
-#: Groups that hold more than this part of all rows are looked up by broadcast: there are fewer of them than its inverse,
-#: whatever the input, and every other group fits into a task.
-HOT_PART = 1 / 1000
-
 
 def normal(text: str = "text") -> Column:
     """The text with every run of white space as one space; null is empty. Single spaces are left alone, which is quicker."""
@@ -79,15 +75,11 @@ class DigestIndex:
 
     def resolve(self, rows: DataFrame, hot_part: float = HOT_PART) -> DataFrame:
         """`rows`, all of them taken in before, with keep_id, group_size and kept."""
-        groups, count = written(self.repeated()), rows.count()
-        hot = F.col("group_size") > F.lit(count * hot_part)
-        few = F.broadcast(groups.where(hot).withColumnsRenamed({c: f"{c}_hot" for c in groups.columns if c != "digest"}))
-        often = rows.join(few, "digest", "left")
-        names = [c for c in groups.columns if c != "digest"]
-        met = often.where("group_size_hot IS NOT NULL").select(*rows.columns, *[F.col(f"{c}_hot").alias(c) for c in names])
-        rest = often.where("group_size_hot IS NULL").select(rows.columns).join(groups.where(~hot), "digest", "left")
+        # The index may have seen a text more often than it is in `rows`, but then in as many rows as it counts.
+        count = self.seen.agg(F.sum("n").alias("n")).first()["n"] or 0
+        found = looked_up(rows, written(self.repeated()), "digest", "group_size", count, part=hot_part)
         alone = F.col("group_size").isNull()
-        return met.unionByName(rest).select(
+        return found.select(
             *rows.columns,
             F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
             F.coalesce("group_size", F.lit(1)).alias("group_size"),

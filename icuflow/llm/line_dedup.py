@@ -1,8 +1,9 @@
 """Removal of lines that many documents share, with DataFrame functions only.
 
-Lines are exploded with their position and normalised, and each key is hashed. Documents are counted per hash with
-partial aggregation, so a line that a third of all documents hold is a few rows per task by the time it is shuffled.
-Only positions come back to the documents; the text is shuffled once.
+Lines are exploded with their position and normalised, each key is hashed, and the hashes are written once. Documents are
+counted per hash with partial aggregation, so a line that a third of all documents hold is a few rows per task by the time
+it is shuffled, and what is known of such a line is broadcast to its places instead of bringing these together. Only
+positions come back to the documents; the text is shuffled once.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import ROW, text_of, with_row_key, without
+from icuflow.llm.common import ROW, looked_up, text_of, with_row_key, without, written
 
 #: White space that is stripped from a line's ends: fixed values.
 BLANK = " \t\n\x0b\x0c\r"
@@ -55,17 +56,17 @@ def drop_shared_lines(
     given = without(docs, [x for x in ("n_lines", "n_dropped") if x not in (text, doc_id)])
     rows = with_row_key(given, doc_id, text)
     lines = rows.select(*ROW, F.posexplode(line_hashes(text_of(text), min_chars)).alias("pos", "hash"))
-    keyed = lines.where(F.col("hash").isNotNull())
+    keyed = written(lines.where(F.col("hash").isNotNull()))
     shared = (
-        keyed.select("hash", ROW[0])
-        .distinct()
+        keyed.groupBy("hash", ROW[0])
+        .agg(F.count(F.lit(1)).alias("places"))
         .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(ROW[0]).alias("keeper"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("places").alias("places"), F.max(ROW[0]).alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("hash", "keeper")
+        .select("hash", "places", "keeper")
     )
     dropped = (
-        keyed.join(shared, "hash")
+        looked_up(keyed, written(shared), "hash", "places", keyed.count(), "inner")
         .where(F.col(ROW[0]) != F.col("keeper"))
         .groupBy(*ROW)
         .agg(F.collect_set("pos").alias("_line_gone"))

@@ -1,8 +1,8 @@
 """Near-duplicate classes by weighted minhash: signatures, bands, and verified multiset overlap.
 
 A document is the multiset of its word shingles. Its BagMinHash signature comes from Poisson processes: each shingle has
-one per weight interval [0, 1), [1, 2), [2, 4), ..., and each point of a process has a time, a slot of the signature and,
-by further halving of the interval, a unit of weight. A slot holds the earliest point whose unit the shingle's count
+one per weight interval [0, 1), [1, 2), [2, 4), ..., and each point of a process has a time, a slot of the signature and
+one of the interval's units of weight, all equally likely. A slot holds the earliest point whose unit the shingle's count
 reaches, so two documents agree in a slot with the probability of their weighted Jaccard similarity. Processes run only
 until every slot is filled.
 
@@ -22,9 +22,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import text_of, without, written
+from icuflow.llm.common import looked_up, text_of, without, written
 
 BANDS, ROWS = 24, 6
+#: Holders of an element that are met at once.
+HOLDERS = 256
 _U64 = np.uint64
 _GOLD = _U64(0x9E3779B97F4A7C15)
 
@@ -147,7 +149,7 @@ def components(links: DataFrame) -> DataFrame:
     """
 
     def smallest(edges: DataFrame) -> DataFrame:
-        return edges.groupBy("u").agg(F.min("v").alias("m"))
+        return edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links"))
 
     def drawn(edges: DataFrame) -> DataFrame:
         return edges.where(F.col("a") != F.col("b")).distinct()
@@ -155,16 +157,19 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(drawn(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))))
     known = None
     while True:
+        count = edges.count()
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        low = smallest(both).select("u", F.least("u", "m").alias("m"))
-        large = drawn(both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")))
+        # A node with very many links is broadcast to them.
+        low = smallest(both).select("u", F.least("u", "m").alias("m"), "links")
+        met = looked_up(both.where(F.col("v") > F.col("u")), low, "u", "links", 2 * count, "inner")
+        large = written(drawn(met.select(F.col("v").alias("a"), F.col("m").alias("b"))))
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         near = smallest(down)
         edges = written(
             drawn(
-                down.join(near, "u")
+                looked_up(down, near, "u", "links", large.count(), "inner")
                 .select(F.col("v").alias("a"), F.col("m").alias("b"))
                 .unionByName(near.select(F.col("u").alias("a"), F.col("m").alias("b")))
             )
@@ -220,7 +225,9 @@ def _rest(near: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     Two sets that are `least` similar share that part of either, so they also share one of the elements that come first
     in either set, if as many come first as can be missing, and one more. The rarest elements come first: what very many
-    nodes share, such as a common passage, is at the end and brings no two nodes together.
+    nodes share, such as a common passage, is at the end and brings no two nodes together. Elements that come first under
+    one root alone, such as what a large cluster has in common, are left out before any join; of the others those with many
+    holders are met in parts.
     """
 
     @F.arrow_udf("array<long>")
@@ -237,8 +244,17 @@ def _rest(near: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     prefix = placed.withColumn("place", first).where((F.col("place") <= missing + 1) & F.col("often").isNotNull())
     names = ("node", "root", "weight", "open", "place")
     prefix = written(prefix.select("element", *names))
+    mixed = prefix.groupBy("element").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("holders"), F.count("open").alias("asking")
+    )
+    mixed = written(mixed.where((F.col("low") != F.col("high")) & (F.col("asking") > 0)).select("element", "holders"))
+    held = looked_up(prefix, mixed, "element", "holders", prefix.count(), "inner")
+    # One side of an element with many holders is dealt over parts, the other goes to each of them.
+    parts = F.ceil(F.col("holders") / F.lit(HOLDERS)).cast("int")
     side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in names]
-    both = prefix.where("open").select("element", *side("a")).join(prefix.select("element", *side("b")), "element")
+    asking = held.where("open").select("element", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), *side("a"))
+    there = held.select("element", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), *side("b"))
+    both = asking.join(there, ["element", "part"])
     # If this is the first common element, what follows it in the shorter rest is all that can be common.
     needed = F.lit(least / (1 + least)) * (F.col("weight_a") + F.col("weight_b"))
     left = F.least(F.col("weight_a") - F.col("place_a"), F.col("weight_b") - F.col("place_b")) + 1

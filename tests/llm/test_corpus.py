@@ -439,6 +439,58 @@ def test_chains_and_common_passages(spark):
     assert dict(collected(minhash.classes(frame), "doc_id", "class_id")) == brute_classes(given)
 
 
+def clusters(draw, n, words=200, common=120):
+    """Two clusters of n near copies each; their texts have 60 % of the words in common."""
+    word = lambda: "".join(draw.choices("abcdefghij", k=7))
+    both, rows = [word() for _ in range(common)], []
+    for c in range(2):
+        own = both + [word() for _ in range(words - common)]
+        for _ in range(n):
+            text = list(own)
+            for _ in range(2):
+                text[draw.randrange(words)] = word()
+            rows.append((c, " ".join(text)))
+    return rows
+
+
+def test_large_clusters_that_are_alike_in_part(spark):
+    rows = clusters(random.Random(11), 400)
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = dict(collected(minhash.classes(frame), "doc_id", "class_id"))
+    assert got == {i: 400 * c for i, (c, _) in enumerate(rows)}
+
+
+def test_leftovers_meet_under_different_roots_alone(spark):
+    """`_rest` against all pairs, with so few holders at once that every element is met in parts."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(60):
+        own = list(base)
+        for k in draw.sample(range(150), draw.randint(0, 5)):
+            own[k] = f"x{draw.randrange(200)}"
+        texts.append(" ".join(own))
+    made = [minhash.multiset(t, 5) for t in texts]
+    node = [bytes([i]) for i in range(60)]
+    root = [node[i - i % 4] for i in range(60)]
+    open_ = [True if i % 3 else None for i in range(60)]
+    near = spark.createDataFrame(list(zip(node, root, [len(m) for m in made], open_, strict=True)), "node binary, root binary, weight long, open boolean")
+    sets = spark.createDataFrame([(n, m.tobytes()) for n, m in zip(node, made, strict=True)], "node binary, set binary")
+    held, minhash.HOLDERS = minhash.HOLDERS, 7
+    try:
+        got = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in minhash._rest(near, sets, 0.8).collect()}
+    finally:
+        minhash.HOLDERS = held
+    want = set()
+    for i in range(60):
+        for j in range(i):
+            both = len(np.intersect1d(made[i], made[j]))
+            alike = both / (len(made[i]) + len(made[j]) - both)
+            if alike >= 0.8 and root[i] != root[j] and (open_[i] or open_[j]):
+                want.add(frozenset((node[i], node[j])))
+    assert got == want and len(want) > 20
+
+
 def test_signatures_estimate_weighted_similarity():
     draw = np.random.default_rng(4)
     elements = draw.integers(0, 1 << 62, 300, dtype=np.uint64)
