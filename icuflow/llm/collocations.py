@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from icuflow.llm.common import text_of, written
 
 #: Words from which a task builds one shard, and n-grams of all shards that a range holds.
-SHARD, RANGE = 1_000_000, 2_000_000
+SHARD, RANGE = 1_000_000, 1_000_000
 #: Keys from which the borders of a range are taken; words of a shard of texts to a phrase of a reversed one.
 MARKS, DENSER = 8, 12
 #: Bytes whose words are numbered at once.
@@ -238,6 +238,17 @@ def spelled(packed: bytes) -> Grams:
     return out
 
 
+def _sent(grams: Grams) -> bytes:
+    """The transducer, compressed: a task holds some of them in its JVM too."""
+    packed = transducer(grams)
+    return len(packed).to_bytes(8, "little") + pa.compress(packed, codec="zstd", asbytes=True)
+
+
+def _received(sent: bytes) -> Grams:
+    size = int.from_bytes(sent[:8], "little")
+    return spelled(pa.decompress(sent[8:], decompressed_size=size, codec="zstd", asbytes=True))
+
+
 def composed(grams: Grams) -> list[np.ndarray]:
     """For each length a matrix: of every n-gram the counts of its prefixes, shortest first, itself last."""
     out = [grams.weights[0][:, None]]
@@ -258,7 +269,7 @@ _FOUND = pa.schema(
 
 
 def _shard(lang: str, words: int, grams: Grams, apart: int) -> pa.RecordBatch:
-    row = {"lang": lang, "words": words, "marks": grams.marks(apart), "counts": transducer(grams)}
+    row = {"lang": lang, "words": words, "marks": grams.marks(apart), "counts": _sent(grams)}
     return pa.RecordBatch.from_pylist([row], schema=_SHARDS)
 
 
@@ -357,8 +368,8 @@ def _cut(keys: dict[str, list[tuple[bytes, ...]]], batches: Iterator[pa.RecordBa
     """The parts of every shard, one transducer each."""
     for batch in batches:
         for lang, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for number, part in parts(spelled(packed.as_py()), keys.get(lang, [])):
-                row = {"lang": lang, "range": number, "counts": transducer(part)}
+            for number, part in parts(_received(packed.as_py()), keys.get(lang, [])):
+                row = {"lang": lang, "range": number, "counts": _sent(part)}
                 yield pa.RecordBatch.from_pylist([row], schema=_PARTS)
 
 
@@ -366,7 +377,7 @@ def _unite(keys: dict[str, list[tuple[bytes, ...]]], least: int, key: tuple, tab
     """The n-grams of a range with a count of `least` or more: a, the counts of their prefixes, and that of their most
     frequent continuation. Of a prefix of the range's first key the continuation alone is given, without a."""
     lang, number = key[0].as_py(), key[1].as_py()
-    grams = united([spelled(x.as_py()) for x in table.column("counts")])
+    grams = united([_received(x.as_py()) for x in table.column("counts")])
     own = borders(grams, keys[lang][number - 1])[0] if number else [0] * len(grams.labels)
     rows = []
     for depth, (weight, prefixes) in enumerate(zip(grams.weights, composed(grams), strict=True)):
@@ -429,10 +440,10 @@ def mine(
     """
     apart = max(1, span // MARKS)
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), text_of(text).alias("text"))
-    shards = written(given.mapInArrow(partial(_text_shards, most, shard, apart), SHARDS))
+    shards = written(given.mapInArrow(partial(_text_shards, most, shard, apart), SHARDS), rows_a_file=4)
     ahead = written(_looked_up(shards, least))
     frequent = ahead.where("a IS NOT NULL").select("lang", "phrase", "a")
-    back = written(frequent.mapInArrow(partial(_phrase_shards, most, max(1, shard // DENSER), apart), SHARDS))
+    back = written(frequent.mapInArrow(partial(_phrase_shards, most, max(1, shard // DENSER), apart), SHARDS), rows_a_file=4)
     behind = _looked_up(back, least)
     mirrored = F.array_join(F.reverse(F.split("phrase", " ", -1)), " ")
     none = F.lit(None).cast("array<long>")

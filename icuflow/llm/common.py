@@ -14,7 +14,7 @@ from icuflow.session import shared_dir
 #: Rows that travel to a Python worker at once. Texts are of any length, so batches are kept short.
 BATCH_ROWS = 256
 #: Bytes of them: a few very long texts are a batch of their own.
-BATCH_BYTES = 64 << 20
+BATCH_BYTES = 16 << 20
 
 _KEPT: dict[str, Any] = {}
 
@@ -32,13 +32,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet below the shared checkpoint folder and go on from the files.
+def written(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
+    """Write `df` as Parquet below the shared checkpoint folder and go on from the files, of so many rows at most if given
+    (Spark reads thousands of rows at once, which is too much where each holds megabytes).
 
     Lineage ends there, a lost executor re-reads the files, and columns and filters still reach the scan.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
