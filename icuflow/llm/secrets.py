@@ -4,6 +4,9 @@ From each rule's regular expression a Boolean query over trigrams is derived: an
 match, each an AND of the trigrams that way must contain. The inverted index holds a posting (trigram, document) for
 every trigram some rule asks for. Postings are intersected by counting, the documents left are candidates, and the
 expression itself is run over them. A rule with a way that has no trigram is run over every document.
+
+Postings are small; texts are shuffled only where they meet the candidates of the index, and a text whose own trigrams
+satisfy no query stays where it was read.
 """
 
 from __future__ import annotations
@@ -111,6 +114,19 @@ def _running(df: DataFrame, values: str, out: str, of, start: Column) -> DataFra
     return df.withColumn(out, own).drop(blocks, before, width)
 
 
+def satisfied(rules: tuple[Rule, ...], text: str) -> Column:
+    """Whether a text's trigrams satisfy the query of some rule that has one."""
+    plain, folded = text_of(text), F.lower(text_of(text))
+    out = F.lit(False)
+    for rule in rules:
+        for grams in trigram_query(rule):
+            every = F.lit(True)
+            for gram in sorted(grams):
+                every = every & F.contains(folded if rule.ignore_case else plain, F.lit(gram))
+            out = out | every
+    return out
+
+
 def candidates(rows: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame | None:
     """ROW and the numbers of the rules whose trigram query the document satisfies; None if every rule scans fully."""
     terms: dict[tuple[str, bool], int] = {}
@@ -178,17 +194,25 @@ def scan(
     """
     given = without(docs, [out])
     rows = with_row_key(given, doc_id, text)
-    if (found := candidates(rows, rules, text)) is not None:
-        rows = rows.join(found, list(ROW), "left")
+    numbered = list(enumerate(rules))
+    found = candidates(rows, rules, text)
+    if found is None:
+        return _scanned(rows, numbered, text, out).select(*given.columns, out)
+    asked = satisfied(rules, text)
+    free = _scanned(rows.where(~asked), [(n, rule) for n, rule in numbered if not trigram_query(rule)], text, out)
+    met = _scanned(rows.where(asked).join(found, list(ROW), "left"), numbered, text, out)
+    return free.select(*given.columns, out).unionByName(met.select(*given.columns, out))
+
+
+def _scanned(rows: DataFrame, rules: list[tuple[int, Rule]], text: str, out: str) -> DataFrame:
+    """Add `out` for these numbered rules."""
     rows = rows.withColumn(text, text_of(text))
-    for number, rule in enumerate(rules):
+    for number, rule in rules:
         rows = _spans(rows, number, rule, text)
-    every = F.concat(*[F.coalesce(F.col(f"_llm_span_{n}"), F.array()) for n in range(len(rules))])
+    none = F.array().cast("array<struct<start: long, rule: int, end: long, kind: string, inner: long>>")
+    every = F.concat(none, *[F.coalesce(F.col(f"_llm_span_{n}"), none) for n, _ in rules])
     named = lambda s, *names: F.struct(*[s[n].alias(n) for n in names])
-    rows = rows.withColumn(
-        out, F.transform(F.array_sort(every), lambda s: named(s, "start", "end", "kind"))
-    )
-    return rows.select(*given.columns, out)
+    return rows.withColumn(out, F.transform(F.array_sort(every), lambda s: named(s, "start", "end", "kind")))
 
 
 def redact(
