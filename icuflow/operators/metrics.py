@@ -10,22 +10,24 @@ from pyspark.sql import functions as F
 from icuflow.operators.ordered import hashed_position, over_neighbours, running
 
 
-def _by_score(df: DataFrame, score: str, label: str, groups: Sequence[str]) -> DataFrame:
-    return df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(
-        *groups, F.col(score).alias("_s")
-    ).agg(
+def _by_score(df: DataFrame, score: str, label: str, groups: Sequence[str], weight: str | None = None) -> DataFrame:
+    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*groups, F.col(score).alias("_s"))
+    if weight:
+        often = lambda c: F.coalesce(F.sum(F.when(c, F.col(weight))), F.lit(0))
+        return known.agg(often(F.col(label) == 1).alias("_pos"), often(F.col(label) != 1).alias("_neg"))
+    return known.agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("_pos"),
         F.count(F.when(F.col(label) != 1, 1)).alias("_neg"),
     )
 
 
-def auroc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
+def auroc(df: DataFrame, score: str, label: str, groups: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Area under the ROC curve: the share of (positive, negative) pairs in the right order.
 
-    Ties count one half. Rows shrink to distinct scores first; the pairs are counted through
+    Ties count one half; a row counts `weight` times if given. Rows shrink to distinct scores first; the pairs are counted through
     the running number of negatives below each score.
     """
-    ranked = running(_by_score(df, score, label, groups), ["_s"], groups, totals={"_below": F.col("_neg")})
+    ranked = running(_by_score(df, score, label, groups, weight), ["_s"], groups, totals={"_below": F.col("_neg")})
     wins = F.col("_pos") * (F.col("_below") - F.col("_neg") / 2)
     pairs = F.try_divide(F.sum(wins), F.sum("_pos") * F.sum("_neg"))
     return ranked.groupBy(*groups).agg(
