@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -33,7 +34,11 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.operators.prep import bootstrap, hash_split
+from icuflow.operators import search
+from icuflow.operators.blocks import Blocks, counts
+from icuflow.operators.blocks import folds as fold_counts
+from icuflow.operators.prep import bootstrap, bootstrap_counts, hash_split
+from icuflow.operators.search import Cell
 from icuflow.session import stable
 
 
@@ -43,7 +48,7 @@ def l2_logistic(n: int, c: float = 0.1, tol: float = 1e-3) -> LogisticRegression
 
 
 def l2_svm(n: int, c: float = 0.1, tol: float = 1e-3) -> LinearSVC:
-    """L2 linear SVM (hinge loss)."""
+    """L2 linear SVM with the plain hinge; `search` has the squared one."""
     return LinearSVC(regParam=1 / (c * n), standardization=False, tol=tol)
 
 
@@ -232,6 +237,67 @@ def repeated_auroc(
     return [r for found in per_seed for r in found]
 
 
+def bootstrap_areas(
+    df: DataFrame, key: str, cells: Mapping[str, Cell], others: Mapping[str, Estimator], features: str, size: int, seeds: Sequence[int], parallelism: int = 4
+) -> list[dict]:
+    """AUROC of `size`-row bootstrap samples, half of them for training, one result per seed and model; all models of a
+    seed see the same samples. Rows are split by key before drawing, so no row is in both halves.
+
+    `cells` are batched models (their group is set here), fitted for all seeds together. `others` are estimators with a
+    weight column, fitted on how often each row was drawn; `parallelism` seeds submit their jobs at a time.
+    """
+    parts = hash_split(df, key, 0.5, "_split")
+    none = F.array(*[F.lit(0.0)] * len(seeds))
+    halves = []
+    for split, own, other in (("train", "_train", "_test"), ("test", "_test", "_train")):
+        half = bootstrap_counts(parts.filter(F.col("_split") == split).drop("_split"), key, size // 2, seeds, own)
+        halves.append(half.withColumn(other, none))
+    rows = stable(halves[0].unionByName(halves[1]))
+    blocks = Blocks(rows, features, "label", (F.col("_train"), F.col("_test")))
+    named = [(seed, name, replace(cell, group=i)) for i, seed in enumerate(seeds) for name, cell in cells.items()]
+    areas = search.areas(blocks, search.fit(blocks, [cell for _, _, cell in named])) if named else []
+    found = [{"seed": int(seed), "model": name, "auroc": area} for (seed, name, _), area in zip(named, areas, strict=True)]
+    vectors = as_vector(rows, features)
+
+    def one_seed(i: int) -> list[dict]:
+        drawn = lambda c: vectors.withColumn("_n", F.get(c, F.lit(i))).filter("_n > 0").select("features", "label", "_n")
+        evaluator = BinaryClassificationEvaluator(numBins=0, weightCol="_n")
+        return [
+            {"seed": int(seeds[i]), "model": name, "auroc": float(evaluator.evaluate(e.copy().setWeightCol("_n").fit(drawn("_train")).transform(drawn("_test"))))}
+            for name, e in others.items()
+        ]
+
+    with ThreadPool(parallelism) as pool:
+        for more in pool.map(inheritable_thread_target(df.sparkSession)(one_seed), range(len(seeds))):
+            found += more
+    return found
+
+
+def fold_areas(df: DataFrame, features: str, folds: str, k: int, cells: Mapping[str, Cell], **options) -> dict[str, list[float]]:
+    """For each named model its AUROC on every fold, fitted on the others: all models and folds in the same passes."""
+    blocks = Blocks(df, features, "label", fold_counts(folds, k))
+    named = [(name, replace(cell, group=i)) for name, cell in cells.items() for i in range(k)]
+    areas = search.areas(blocks, search.fit(blocks, [cell for _, cell in named], **options))
+    out: dict[str, list[float]] = {}
+    for (name, _), area in zip(named, areas, strict=True):
+        out.setdefault(name, []).append(area)
+    return out
+
+
+def split_areas(df: DataFrame, features: str, key: str, cells: Mapping[str, Cell], fraction: float = 0.7, **options) -> DataFrame:
+    """Columns model, n_test, accuracy and auroc of batched models, fitted on the md5-split training part."""
+    rows = hash_split(df, key, fraction, "_split")
+    train, test = (counts(F.col("_split") == s) for s in ("train", "test"))
+    blocks = Blocks(rows, features, "label", (train, test))
+    fitted = search.fit(blocks, list(cells.values()), **options)
+    areas = search.areas(blocks, fitted)
+    names = F.array(*[F.lit(name) for name in cells])
+    own = F.array(*[F.lit(area) for area in areas])
+    return search.accuracies(blocks, fitted).select(
+        F.get(names, F.col("cell")).alias("model"), "n_test", "accuracy", F.get(own, F.col("cell")).alias("auroc")
+    )
+
+
 def fourier_features(df: DataFrame, vector: str, dims: int, width: float, count: int = 256, seed: int = 0) -> DataFrame:
     """Random Fourier features approximating the kernel exp(-|x-y|^2 / width).
 

@@ -101,6 +101,26 @@ def bootstrap(df: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame:
     return hashed_position(df, key, out="_p").join(draws, "_p").drop("_p")
 
 
+def bootstrap_counts(df: DataFrame, key: str, size: int, seeds: Sequence[int], out: str = "times") -> DataFrame:
+    """Add an array: how often `bootstrap` draws the row under each of the seeds. All seeds are drawn in one join of drawn
+    positions, counted first, to the rows' positions in md5 order."""
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    own = F.array(*[F.lit(int(s)) for s in seeds])
+    drawn = (
+        df.sparkSession.range(size * len(seeds))
+        .withColumn("_total", total)
+        .select((F.col("id") % size).alias("_draw"), F.floor(F.col("id") / size).cast("int").alias("_seed"), "_total")
+        .where(F.col("_total") > 0)
+    )
+    text = F.concat(F.get(own, F.col("_seed")).cast("string"), F.lit("-"), F.col("_draw").cast("string"))
+    place = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long") % F.col("_total") + 1
+    often = F.array(*[F.count_if(F.col("_seed") == i).cast("double") for i in range(len(seeds))])
+    times = drawn.select("_seed", place.alias("_p")).groupBy("_p").agg(often.alias(out))
+    never = F.array(*[F.lit(0.0)] * len(seeds))
+    rows = hashed_position(df, key, out="_p").join(times, "_p", "left")
+    return rows.withColumn(out, F.coalesce(out, never)).drop("_p")
+
+
 def sample_fraction(df: DataFrame, label: str, fractions: dict, seed: int = 0) -> DataFrame:
     """Random share of the rows of each label."""
     return df.sampleBy(label, fractions, seed)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
-from icuflow.operators import models, neighbours, prep
+from icuflow.operators import models, moments, neighbours, prep, search
+from icuflow.operators.blocks import Blocks, counts
+from icuflow.operators.search import Cell
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
 from icuflow.plans.bindings import TYPES, with_
 from icuflow.plans.q_tables import rounded
@@ -18,10 +21,14 @@ from icuflow.session import stable
 DIMS = 64
 
 
+def embeddings(t) -> DataFrame:
+    """Embeddings, label 1 for the upper half of the classes."""
+    return t.embeddings.select("vec_id", "embedding", (F.col("label") >= 5).cast("double").alias("label"))
+
+
 def vectors(t) -> DataFrame:
-    """Embeddings as features, label 1 for the upper half of the classes."""
-    rows = t.embeddings.select("vec_id", "embedding", (F.col("label") >= 5).cast("double").alias("label"))
-    return models.as_vector(rows, "embedding")
+    """The same with the embedding as a vector of features."""
+    return models.as_vector(embeddings(t), "embedding")
 
 
 def doc_features(t) -> DataFrame:
@@ -72,8 +79,31 @@ def fit_logreg(t):
 
 @query()
 def fit_linear_svm(t):
-    rows = stable(vectors(t))
-    return result(models.split_auroc(rows, lambda train: models.l2_svm(train.count()), "vec_id"))
+    return result(models.split_areas(embeddings(t), "embedding", "vec_id", {"linear_svm": Cell(0, "squared_hinge", 0.1)}, tol=1e-6))
+
+
+@query()
+def fit_kernel_svm(t):
+    cells = {"width_15": Cell(0, "squared_hinge", 0.1, 15.0), "width_2": Cell(0, "squared_hinge", 1.0, 2.0)}
+    return result(models.split_areas(embeddings(t), "embedding", "vec_id", cells, tol=1e-6))
+
+
+@query(
+    """WITH g AS (SELECT CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS flag, avg(CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END) AS p,
+      count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT sum(n)::BIGINT AS n, round(max(ln(p / (1 - p))) FILTER (WHERE flag = 0), 4) AS level,
+      round(max(ln(p / (1 - p))) FILTER (WHERE flag = 1) - max(ln(p / (1 - p))) FILTER (WHERE flag = 0), 4) AS slope FROM g"""
+)
+def logit_on_flag(t):
+    # Hardly penalised, a logistic model of one 0/1 feature gives the log odds of both sides.
+    flag = F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0)
+    rows = t.lineitem.select(F.array(flag).alias("x"), F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0).alias("y"))
+    blocks = Blocks(rows, "x", "y", (counts(F.lit(True)), counts(F.lit(False))))
+    fitted = search.fit(blocks, [Cell(0, "logistic", 1e6)], tol=1e-12)
+    (space,), (slope, level) = fitted.spaces, fitted.weights[0]
+    slope *= space.scale[0]
+    found = [(t.lineitem.count(), float(level - slope * space.mean[0]), float(slope))]
+    return rounded(t.spark.createDataFrame(found, "n long, level double, slope double"), 4)
 
 
 @query()
@@ -153,34 +183,83 @@ def score_rows(t):
 @query()
 def cv_auc(t):
     rows = stable(prep.stratified_folds(doc_features(t), "label", "doc_id", 10))
-    made = {
-        "logistic": lambda train: models.prepared(DOC_COLUMNS, models.l2_logistic(train.count())),
-        "linear_svm": lambda train: models.prepared(DOC_COLUMNS, models.l2_svm(train.count())),
-        "tree": models.prepared(DOC_COLUMNS, models.entropy_tree(), nominal=8),
-        "boosted": models.prepared(DOC_COLUMNS, models.boosted(), nominal=8),
+    cells = {
+        "logistic": Cell(0, "logistic", 0.1),
+        "linear_svm": Cell(0, "squared_hinge", 0.1),
+        "kernel_svm": Cell(0, "squared_hinge", 0.1, 15.0),
     }
-    found = []
+    areas = models.fold_areas(rows.withColumn("x", F.array(*DOC_COLUMNS)), "x", "fold", 10, cells)
+    found = [(name, float(np.mean(own)), float(np.std(own))) for name, own in areas.items()]
+    made = {"tree": models.entropy_tree(), "boosted": models.boosted(), "forest": models.forest()}
     for name, estimator in made.items():
-        cells = models.cross_validate(rows, estimator, "fold", 10)
+        cells = models.cross_validate(rows, models.prepared(DOC_COLUMNS, estimator, nominal=8), "fold", 10, parallelism=8)
         found += [(name, r["mean"], r["deviation"]) for r in cells]
     return t.spark.createDataFrame(found, "model string, auroc double, deviation double")
 
 
-@query()
+def cv_mse_sql(features: dict[str, str], targets: dict[str, str], rows: str) -> str:
+    """SQL for the errors of least squares and ridge on ten folds: training sums are all less the fold's, the normal
+    equations of the standardised features are solved by determinants (of up to three features)."""
+    x = list(features)
+    pairs = [(i, j) for k, i in enumerate(x) for j in x[: k + 1]]
+    cell = lambda i, j: f"a_{i}_{j}" if (i, j) in pairs else f"a_{j}_{i}"
+
+    def determinant(matrix: list[list[str]]) -> str:
+        if len(matrix) == 1:
+            return matrix[0][0]
+        minors = [[row[:c] + row[c + 1 :] for row in matrix[1:]] for c in range(len(matrix))]
+        return "(" + "".join(f"{'+-'[c % 2]} {matrix[0][c]} * {determinant(m)} " for c, m in enumerate(minors)) + ")"
+
+    whole = [[cell(i, j) for j in x] for i in x]
+    solved = [determinant([[f"b_{i}" if c == k else v for c, v in enumerate(row)] for i, row in zip(x, whole)]) for k in range(len(x))]
+    sums = ["count(*) AS n", "sum(y) AS s_y", *[f"sum({i}) AS s_{i}" for i in x], *[f"sum({i} * {j}) AS p_{i}_{j}" for i, j in pairs]]
+    sums += [f"sum({i} * y) AS p_{i}_y" for i in x]
+    names = [part.split(" AS ")[1] for part in sums]
+    centred = [f"p_{i}_{j} - s_{i} * s_{j} / n AS c_{i}_{j}" for i, j in pairs] + [f"p_{i}_y - s_{i} * s_y / n AS c_{i}_y" for i in x]
+    scaled = [f"c_{i}_{j} / (d_{i} * d_{j})" + (" + penalty" if i == j else "") + f" AS a_{i}_{j}" for i, j in pairs]
+    guess = " + ".join(f"w_{i} * (r.{i} - s_{i} / n)" for i in x)
+    return f"""WITH source AS ({rows}),
+    middle AS (SELECT {", ".join(f"avg({v}) AS {k}" for k, v in (features | targets).items())} FROM source),
+    r AS (SELECT fold, target, y, {", ".join(x)} FROM (
+      {" UNION ALL ".join(f"SELECT fold, '{k}' AS target, {v} - (SELECT {k} FROM middle) AS y, " + ", ".join(f"{w} - (SELECT {i} FROM middle) AS {i}" for i, w in features.items()) + " FROM source" for k, v in targets.items())})),
+    f AS (SELECT fold, target, {", ".join(sums)} FROM r GROUP BY fold, target),
+    t AS (SELECT f.fold, f.target, {", ".join(f"o.{c} - f.{c} AS {c}" for c in names)} FROM f
+      JOIN (SELECT target, {", ".join(f"sum({c}) AS {c}" for c in names)} FROM f GROUP BY target) o USING (target)),
+    c AS (SELECT *, {", ".join(centred)} FROM t),
+    d AS (SELECT *, {", ".join(f"sqrt(c_{i}_{i} / (n - 1)) AS d_{i}" for i in x)} FROM c),
+    a AS (SELECT *, {", ".join(scaled)}, {", ".join(f"c_{i}_y / d_{i} AS b_{i}" for i in x)}
+      FROM d, (VALUES ('least_squares', 0.0), ('ridge', 1.0)) AS v(model, penalty)),
+    w AS (SELECT *, {", ".join(f"{top} / {determinant(whole)} / d_{i} AS w_{i}" for i, top in zip(x, solved))} FROM a),
+    e AS (SELECT w.target, w.model, w.fold, avg(power(r.y - s_y / n - ({guess}), 2)) AS mse
+      FROM w JOIN r USING (fold, target) GROUP BY w.target, w.model, w.fold)
+    SELECT target, model, round(avg(mse), 2) AS mse, round(stddev_pop(mse), 2) AS deviation FROM e GROUP BY target, model"""
+
+
+ORDER_ROWS = """SELECT o_orderkey, quantity, price, lines, o_totalprice AS total, date_diff('day', o_orderdate, shipped)::DOUBLE AS days,
+  ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 10 AS fold
+  FROM (SELECT l_orderkey, sum(l_quantity) AS quantity, sum(l_extendedprice) AS price, count(*)::DOUBLE AS lines, max(l_shipdate) AS shipped
+    FROM lineitem GROUP BY l_orderkey) JOIN orders ON l_orderkey = o_orderkey"""
+ORDER_FEATURES = {"q": "quantity", "p": "price", "l": "lines"}
+ORDER_TARGETS = {"total": "total", "days": "days"}
+
+
+def fold_errors(t, columns: list[str]) -> DataFrame:
+    """Least squares and ridge of both targets on ten folds, from the moments of the folds."""
+    rows = prep.kfold(order_features(t), "o_orderkey", 10)
+    own = moments.moments(rows, [*columns, *ORDER_TARGETS], "fold")
+    found = moments.cross_validated(own, columns, list(ORDER_TARGETS), {"least_squares": 0.0, "ridge": 1.0})
+    cells = [(target, name, float(np.mean(e)), float(np.std(e))) for target, name, e in found]
+    return rounded(t.spark.createDataFrame(cells, "target string, model string, mse double, deviation double"), 2)
+
+
+@query(cv_mse_sql(ORDER_FEATURES, ORDER_TARGETS, ORDER_ROWS))
 def cv_mse(t):
-    rows = stable(prep.kfold(order_features(t), "o_orderkey", 10))
-    columns = ["quantity", "price", "lines"]
-    found = []
-    made = {
-        "least_squares": lambda train: models.prepared(columns, models.least_squares()),
-        "ridge": lambda train: models.prepared(columns, models.ridge(*models.label_scale(train))),
-    }
-    for target in ("total", "days"):
-        labelled = rows.withColumn("label", F.col(target))
-        for name, estimator in made.items():
-            scores = models.cross_validate(labelled, estimator, "fold", 10, metric="mse")
-            found += [(target, name, r["mean"], r["deviation"]) for r in scores]
-    return t.spark.createDataFrame(found, "target string, model string, mse double, deviation double")
+    return fold_errors(t, ["quantity", "price", "lines"])
+
+
+@query(cv_mse_sql({"p": "price"}, ORDER_TARGETS, ORDER_ROWS))
+def cv_mse_one_feature(t):
+    return fold_errors(t, ["price"])
 
 
 #: The reference's grids: penalties of the linear model; penalties and widths of the kernel model.
@@ -191,22 +270,13 @@ KERNEL_WIDTHS = (1.0, 10.0)
 
 @query()
 def grid_search(t):
-    rows = stable(prep.stratified_folds(vectors(t), "label", "vec_id", 10))
-    estimator = models.l2_svm(1)
-
-    def searched(rows, model, width, weights):
-        def grid(train):
-            n = train.count()
-            return [{estimator.regParam: 1 / (c * n)} for c in weights]
-
-        found = models.cross_validate(rows, estimator, "fold", 10, grid=grid, parallelism=8)
-        return [(model, c, width, r["mean"], r["deviation"]) for c, r in zip(weights, found, strict=True)]
-
-    cells = searched(rows, "linear", None, LINEAR_C)
-    for width in KERNEL_WIDTHS:
-        mapped = stable(models.fourier_features(rows.drop("features"), "embedding", DIMS, width=width))
-        cells += searched(mapped, "kernel", width, KERNEL_C)
-    return t.spark.createDataFrame(cells, "model string, c double, width double, auroc double, deviation double")
+    # Every cell and fold in the same passes.
+    rows = stable(prep.stratified_folds(embeddings(t), "label", "vec_id", 10))
+    cells = {("linear", c, None): Cell(0, "squared_hinge", c) for c in LINEAR_C}
+    cells |= {("kernel", c, w): Cell(0, "squared_hinge", c, w) for w in KERNEL_WIDTHS for c in KERNEL_C}
+    areas = models.fold_areas(rows, "embedding", "fold", 10, cells)
+    found = [(*name, float(np.mean(own)), float(np.std(own))) for name, own in areas.items()]
+    return t.spark.createDataFrame(found, "model string, c double, width double, auroc double, deviation double")
 
 
 @query(
@@ -243,13 +313,9 @@ def pca_sweep(t):
 
 @query()
 def repeat_eval(t):
-    rows = stable(vectors(t))
-    made = {
-        "linear_svm": lambda train: models.l2_svm(train.count()),
-        "logistic": lambda train: models.l2_logistic(train.count()),
-        "forest": models.forest(),
-    }
-    found = models.repeated_auroc(rows, made, "vec_id", 2 * rows.count(), range(10))
+    rows = stable(embeddings(t))
+    cells = {"linear_svm": Cell(0, "squared_hinge", 0.1), "logistic": Cell(0, "logistic", 0.1)}
+    found = models.bootstrap_areas(rows, "vec_id", cells, {"forest": models.forest()}, "embedding", 2 * rows.count(), range(10))
     return t.spark.createDataFrame([(r["seed"], r["model"], r["auroc"]) for r in found], "seed int, model string, auroc double")
 
 
