@@ -419,7 +419,7 @@ def signed_sum(t):
     FROM death d LEFT JOIN v ON v.user_id = d.user_id LEFT JOIN u ON u.user_id = d.user_id LEFT JOIN g ON g.user_id = d.user_id
     LEFT JOIN l ON l.user_id = d.user_id LEFT JOIN f ON f.user_id = d.user_id LEFT JOIN customer c ON c.c_custkey = d.user_id"""
 )
-def feature_table(t):
+def star_features(t):
     rows = first_day(t)
     lowest = score.lowest(scored(t), ["user_id"], ["score", "hour"], ["score", "hour", "motor"]).select(
         "user_id", F.col("score").alias("mingcs"), F.col("motor").alias("gcsmotor")
