@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
-from icuflow.operators import models, moments, neighbours, prep, search
+from icuflow.operators import kernel_ridge, metrics, models, moments, neighbours, prep, search
 from icuflow.operators.blocks import Blocks, counts
 from icuflow.operators.search import Cell
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
@@ -171,6 +171,16 @@ def fit_rff_ridge(t):
     return result(models.split_mse(rows, lambda train: models.ridge(*models.label_scale(train)), "vec_id"))
 
 
+@query()
+def fit_kernel_ridge(t):
+    # The exact kernel; `products` of the kernel matrix were needed for the residual.
+    rows = prep.hash_split(embeddings(t), "vec_id", 0.7)
+    blocks = Blocks(rows, "embedding", "label", (counts(F.col("split") == "train"), counts(F.col("split") == "test")))
+    model = kernel_ridge.fit(blocks, width=15.0, tau=1.0, tol=1e-8)
+    errors = metrics.mse(kernel_ridge.predict(blocks, model), "prediction", "label")
+    return rounded(errors.select(F.col("n").alias("n_test"), "mse").withColumns({"products": F.lit(model.products), "residual": F.lit(model.residual)}))
+
+
 @query()
 def score_rows(t):
     rows = stable(vectors(t))
