@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
-from icuflow.operators import kernel_ridge, metrics, models, moments, neighbours, prep, search
+from icuflow.operators import kernel_ridge, metrics, models, moments, neighbours, network, prep, search
 from icuflow.operators.blocks import Blocks, counts
 from icuflow.operators.search import Cell
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
@@ -141,6 +141,17 @@ def fit_mlp(t):
     return result(models.split_auroc(rows, models.small_net(DIMS), "vec_id"))
 
 
+@query()
+def fit_relu_net(t):
+    # Ten rectified units, 200 epochs, momentum 0.9.
+    rows = prep.hash_split(embeddings(t), "vec_id", 0.7)
+    blocks = Blocks(rows, "embedding", "label", (counts(F.col("split") == "train"), counts(F.col("split") == "test")))
+    scored = stable(network.scored(blocks, network.fit(blocks)))
+    area = metrics.auroc(scored, "score", "label").select("auroc")
+    right = metrics.accuracy(scored, "prediction", "label").select(F.col("n").alias("n_test"), "accuracy")
+    return rounded(right.withColumn("auroc", area.scalar()))
+
+
 @query(
     """SELECT count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
     round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem"""

@@ -138,6 +138,31 @@ def test_nearest_matches_brute_force_over_blocks(spark, block):
         assert [got[i][p] for p in (1, 2, 3)] == order
 
 
+@pytest.mark.parametrize(("pivots", "block"), [(1, 4096), (9, 4096), (25, 11)])
+def test_cells_give_the_same_neighbours(spark, pivots, block):
+    """Clusters, equal points, a cell with a third of all rows, more neighbours wanted than a cell holds."""
+    draw = np.random.default_rng(pivots)
+    points = np.vstack([draw.normal(size=(20, 3)) + centre for centre in draw.normal(size=(6, 3)) * 8] + [np.zeros((60, 3))])
+    rows = [(i, [float(x) for x in p], i % 3) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    q, t = frame.filter("id % 2 = 1"), frame.filter("id % 2 = 0")
+    found, visits = neighbours.nearest_in_cells(q, t, "id", "v", "label", 7, pivots, block)
+    key = lambda df: sorted((r["id"], r["place"], r["neighbour"], round(r["distance"], 9), r["label"]) for r in df.collect())
+    assert key(found) == key(neighbours.nearest(q, t, "id", "v", "label", 7))
+    met = [r["visits"] for r in visits.collect()]
+    assert len(met) == q.count() and max(met) <= pivots
+    # Most cells are skipped.
+    assert pivots == 1 or np.mean(met) < 0.5 * pivots
+
+
+def test_cells_of_few_rows(spark):
+    frame = spark.createDataFrame([(1, [0.0], 1), (2, [1.0], 0)], "id long, v array<double>, label int")
+    found, _ = neighbours.nearest_in_cells(frame.where("id = 1"), frame.where("id = 2"), "id", "v", "label", 5)
+    assert [(r["id"], r["neighbour"], r["place"]) for r in found.collect()] == [(1, 2, 1)]
+    found, visits = neighbours.nearest_in_cells(frame, frame.where("false"), "id", "v", "label")
+    assert found.count() == 0 and {r["visits"] for r in visits.collect()} == {0}
+
+
 def test_knn_votes(spark):
     rows = [(0, [0.0], 1), (2, [0.1], 1), (4, [5.0], 0), (6, [5.1], 0), (8, [0.2], 0)]
     train = spark.createDataFrame(rows, "id long, v array<double>, label int")
