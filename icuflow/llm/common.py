@@ -16,6 +16,9 @@ BATCH_ROWS = 256
 #: Bytes of them: a few very long texts are a batch of their own.
 BATCH_BYTES = 16 << 20
 
+#: Bytes that a task holds back while it writes an intermediate.
+WRITE_BYTES = 32 << 20
+
 _KEPT: dict[str, Any] = {}
 
 
@@ -39,7 +42,7 @@ def written(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
     Lineage ends there, a lost executor re-reads the files, and columns and filters still reach the scan.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
+    df.write.option("maxRecordsPerFile", rows_a_file).option("parquet.block.size", WRITE_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -111,8 +111,8 @@ def sharpest(model: Model, rows: np.ndarray, powers: tuple[int, ...] = POWERS) -
     """The power by which the labelled rows, each left out of its own vote, score closest to their labels: the mean of both
     labels' mean squared errors, equal ones by the smaller power."""
     missed = {power: np.zeros(len(rows)) for power in powers}
-    for first in range(0, len(rows), 8 * BLOCK):
-        part = np.arange(first, min(first + 8 * BLOCK, len(rows)))
+    for first in range(0, len(rows), BLOCK):
+        part = np.arange(first, min(first + BLOCK, len(rows)))
         cosine = model.cosines(rows[part])
         # A row is no neighbour of its own: at -1 it has no vote even where there are too few others.
         cosine[np.arange(len(part)), part] = -1
