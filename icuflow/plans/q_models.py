@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
-from icuflow.operators import kernel_ridge, metrics, models, moments, neighbours, network, prep, search
+from icuflow.operators import kernel_ridge, metrics, models, moments, neighbours, network, prep, search, selection
 from icuflow.operators.blocks import Blocks, counts
 from icuflow.operators.search import Cell
 from icuflow.plans.q_series import HOURLY, LABELLED, hours
@@ -313,6 +313,40 @@ def select_features(t):
     return rounded(chosen.select("vec_id", F.size("v").alias("kept"), F.aggregate("v", F.lit(0.0), lambda a, b: a + b).alias("total")))
 
 
+LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def line_moments(t):
+    rows = t.lineitem.select(*LINE_FEATURES, "l_extendedprice", F.lit(0).alias("all"))
+    return moments.moments(rows, [*LINE_FEATURES, "l_extendedprice"], "all")[0]
+
+
+_R = {x: f"corr({x}, l_extendedprice)" for x in LINE_FEATURES}
+
+
+@query(
+    f"""WITH one AS ({" UNION ALL ".join(f"SELECT {k} AS a, '{x}' AS feature, {_R[x]} AS r FROM lineitem" for k, x in enumerate(LINE_FEATURES))}),
+    whole AS (SELECT var_pop(l_extendedprice) * count(*) AS s FROM lineitem),
+    first AS (SELECT * FROM one QUALIFY row_number() OVER (ORDER BY round(r * r, 12) DESC, a) = 1),
+    pair AS ({" UNION ALL ".join(f"SELECT {i} AS a, {j} AS b, corr({x}, {y}) AS r FROM lineitem" for i, x in enumerate(LINE_FEATURES) for j, y in enumerate(LINE_FEATURES) if i != j)}),
+    second AS (SELECT o.feature, o.a, (f.r * f.r + o.r * o.r - 2 * f.r * o.r * p.r) / (1 - p.r * p.r) AS explained
+      FROM first f JOIN pair p ON p.a = f.a JOIN one o ON o.a = p.b QUALIFY row_number() OVER (ORDER BY round(explained, 12) DESC, o.a) = 1)
+    SELECT 1 AS step, feature, round((1 - r * r) * s / 1e9, 3) AS squares_left FROM first, whole
+    UNION ALL SELECT 2, feature, round((1 - explained) * s / 1e9, 3) FROM second, whole"""
+)
+def forward_selection(t):
+    found = selection.forward(line_moments(t), LINE_FEATURES, "l_extendedprice", 2)
+    rows = [(k, name, left / 1e9) for k, (name, left) in enumerate(found, 1)]
+    return rounded(t.spark.createDataFrame(rows, "step int, feature string, squares_left double"), 3)
+
+
+@query()
+def backward_elimination(t):
+    found = selection.backward(line_moments(t), LINE_FEATURES, "l_extendedprice")
+    rows = [(k, name, left / 1e9) for k, (name, left) in enumerate(found, 1)]
+    return rounded(t.spark.createDataFrame(rows, "step int, feature string, squares_left double"), 3)
+
+
 @query()
 def pca_project(t):
     rows = stable(vectors(t))
