@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import pi
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.operators.ordered import hashed_position, over_neighbours, running
@@ -131,8 +132,18 @@ def random_guess(df: DataFrame, label: str, key: str) -> DataFrame:
     )
 
 
-def mean_guess(df: DataFrame, target: str, train: DataFrame | None = None, noise: float = 0.0, seed: int = 0) -> DataFrame:
-    """The training mean as a guess, with normal noise around it if asked for."""
+def hashed_normal(key: str, seed: int = 0) -> Column:
+    """A draw from the standard normal for each key, from two even numbers of its md5 (Box and Muller): the same wherever
+    and however often it is drawn."""
+    digest = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")))
+    part = lambda first: F.conv(F.substring(digest, first, 12), 16, 10).cast("double")
+    return F.sqrt(-2 * F.log((part(1) + 1) / 2.0**48)) * F.cos(2 * pi * part(13) / 2.0**48)
+
+
+def mean_guess(df: DataFrame, target: str, train: DataFrame | None = None, noise: float = 0.0, seed: int = 0, key: str | None = None) -> DataFrame:
+    """The training mean as a guess, with normal noise around it if asked for (drawn by `key` if given)."""
     center = (train or df).agg(F.avg(target).alias("m")).scalar()
     guessed = df.withColumn("guess", center)
-    return guessed.withColumn("guess", F.col("guess") + F.randn(seed) * noise) if noise else guessed
+    if not noise:
+        return guessed
+    return guessed.withColumn("guess", F.col("guess") + (hashed_normal(key, seed) if key else F.randn(seed)) * noise)

@@ -125,8 +125,17 @@ def ordered_head(t):
     FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)"""
 )
 def stream_hourly(t):
-    found = live.every_window(t.spark, t.folder, "hour", lambda feed: live.hourly_stream(feed, ["user_id", "event_type"], "value"))
-    return rounded(found.withColumn("hour", F.col("hour").cast("timestamp_ntz")))
+    return rounded(
+        windows_of_a_feed(t, ["user_id", "event_type"], lambda: F.window("ts", "1 hour")).select("user_id", "event_type", F.col("start").alias("hour"), "mean", "n")
+    )
+
+
+def windows_of_a_feed(t, keys, window):
+    """Windows of the events as a feed of many files in no order of time, taken in two at a time."""
+    folder = live.many_files(t.events)
+    sink = live.PartialWindows(f"{folder}-windows", keys, "value", window)
+    sink.take_in(live.feed(t.spark, folder))
+    return sink.read(t.spark).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query(
@@ -136,9 +145,25 @@ def stream_hourly(t):
     FROM spread GROUP BY user_id, start"""
 )
 def stream_sliding(t):
-    windows = lambda feed: live.sliding(feed.withWatermark("ts", "2 hours"), ["user_id"], "value")
-    found = live.every_window(t.spark, t.folder, "start", windows)
-    return rounded(found.withColumn("start", F.col("start").cast("timestamp_ntz")), keep=("low", "high"))
+    return rounded(windows_of_a_feed(t, ["user_id"], lambda: F.window("ts", "6 hours", "1 hour")), keep=("low", "high"))
+
+
+CARRIED = ", ".join(
+    f"CASE WHEN epoch_us(ts) - epoch_us(last_value(CASE WHEN event_type = '{x}' THEN ts END IGNORE NULLS) OVER w) < 21600000000 "
+    f"THEN last_value(CASE WHEN event_type = '{x}' THEN value END IGNORE NULLS) OVER w END AS {x}"
+    for x in TYPES
+)
+
+
+@query(
+    f"""SELECT user_id, event_id, ts, FALSE AS late, {CARRIED} FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+)
+def stream_carry_forward(t):
+    # Files come in the order of time, as a live feed delivers them.
+    folder = live.many_files(t.events, 4, "ts")
+    found = live.with_rocks(t.spark, lambda: live.stored(live.carry_forward(live.feed(t.spark, folder, files=1), tuple(TYPES))))
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")

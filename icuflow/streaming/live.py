@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -139,6 +139,135 @@ def every_window(
     return closed.unionByName(still if last is None else still.where(F.unix_micros(start) > last))
 
 
+#: How the partial results of a window are made from rows, and brought together.
+PARTS = {"sum": (F.sum, F.sum), "n": (F.count, F.sum), "low": (F.min, F.min), "high": (F.max, F.max)}
+
+
+class PartialWindows:
+    """A sink of window results that no order of arrival can spoil.
+
+    Every micro-batch appends one row for each key and window that it touches: sum, count, least and greatest value of its
+    own rows, under its batch number. A window is the sum of its rows, so a row that comes days late adds one more and
+    reopens its window; nothing is kept in state and no watermark drops it. A batch that is written again after a restart
+    overwrites its own folder, so it counts once.
+    """
+
+    def __init__(self, folder: str, keys: list[str], value: str, window: Callable[[], Column]) -> None:
+        self.folder, self.keys, self.value, self.window = folder, keys, value, window
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        made = [own(F.col(self.value)).alias(name) for name, (own, _) in PARTS.items()]
+        parts = batch.groupBy(*self.keys, self.window().alias("window")).agg(*made)
+        parts.select(*self.keys, F.col("window.start").alias("start"), *PARTS).write.mode("overwrite").parquet(f"{self.folder}/rows/batch={number}")
+
+    def take_in(self, stream: DataFrame) -> None:
+        """Go on from the last batch over what is there now."""
+        writer = stream.writeStream.foreachBatch(self.write).option("checkpointLocation", f"{self.folder}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Every window so far: keys, start, mean, low, high and n."""
+        rows = spark.read.parquet(f"{self.folder}/rows")
+        merged = [both(name).alias(name) for name, (_, both) in PARTS.items()]
+        whole = rows.groupBy(*self.keys, "start").agg(*merged)
+        return whole.select(*self.keys, "start", F.try_divide("sum", "n").alias("mean"), "low", "high", "n")
+
+
+def many_files(events: DataFrame, files: int = 8, order: str | None = None) -> str:
+    """The rows of a frame as a feed: as many files, in no order of time, or one after the other by ranges of `order`."""
+    spark = events.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/feed-{uuid4().hex}"
+    if order is None:
+        events.repartition(files, F.xxhash64(*events.columns)).write.parquet(folder)
+        return folder
+    rows = events.withColumn("_at", F.unix_micros(F.col(order).cast("timestamp")))
+    low, high = rows.agg(F.min("_at"), F.max("_at")).first()
+    step = 1 if low is None else (high - low) // files + 1
+    for k in range(files):
+        part = rows.where(F.floor((F.col("_at") - F.lit(low or 0)) / step) == k).drop("_at")
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def feed(spark: SparkSession, folder: str, schema: str = EVENTS, files: int = 2) -> DataFrame:
+    """A file stream that takes so many files a micro-batch; `ts` becomes a zoned timestamp."""
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+class CarryForward(StatefulProcessor):
+    """Per key: each reading with the latest earlier value of every field that is less than `memory` seconds old.
+
+    State is one (time, value) a field and key. An event-time timer set to the end of the newest one's memory clears a key
+    that has gone quiet. A reading older than what the key has seen cannot be placed any more: it is given out marked
+    `late`, without carried values, and leaves the state alone.
+    """
+
+    def __init__(self, fields: tuple[str, ...], memory: float) -> None:
+        self.fields, self.memory = fields, memory
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        columns = ", ".join(f"at_{k} double, value_{k} double" for k in range(len(self.fields)))
+        self.held = handle.getValueState("held", f"newest double, {columns}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        count = len(self.fields)
+        held = list(self.held.get()) if self.held.exists() else [float("-inf")] + [float("nan")] * 2 * count
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="stable", ignore_index=True)
+        at = batch["ts"].astype("int64") / {"ns": 1e9, "us": 1e6, "ms": 1e3, "s": 1}[batch["ts"].dt.unit]
+        late = at < held[0]
+        out = pd.DataFrame({"user_id": key[0], "event_id": batch["event_id"], "ts": batch["ts"], "late": late})
+        for k, name in enumerate(self.fields):
+            own = (batch["event_type"] == name) & ~late
+            seen = at.where(own).ffill().shift().fillna(held[1 + 2 * k])
+            value = batch["value"].where(own).ffill().shift().fillna(held[2 + 2 * k])
+            fresh = ~late & (at - seen < self.memory)
+            out[name] = value.where(fresh)
+            if own.any():
+                last = int(own.to_numpy().nonzero()[0][-1])
+                held[1 + 2 * k], held[2 + 2 * k] = float(at.iloc[last]), float(batch["value"].iloc[last])
+        held[0] = max(held[0], float(at.iloc[-1]))
+        self.held.update(tuple(held))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int((held[0] + self.memory) * 1000) + 1)
+        yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.held.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def carry_forward(events: DataFrame, fields: tuple[str, ...], memory: float = 6 * 3600, late: str = "2 hours") -> DataFrame:
+    """`CarryForward` on a stream of event_id, user_id, ts, event_type, value, behind a watermark that moves the timers."""
+    columns = ", ".join(f"{name} double" for name in fields)
+    rows = events.select("user_id", "event_id", "ts", "event_type", "value").withWatermark("ts", late)
+    return rows.groupBy("user_id").transformWithStateInPandas(
+        CarryForward(fields, memory),
+        outputStructType=f"user_id long, event_id long, ts timestamp, late boolean, {columns}",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+def with_rocks(spark: SparkSession, run: Callable[[], DataFrame]) -> DataFrame:
+    """Run a stream that needs the state store for timers, and put the session's own store back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKS)
+    try:
+        return run()
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def drain(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Run a stream over what is there now into a table in the driver's memory: for small feeds only, see `stored`."""
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()

@@ -230,3 +230,13 @@ def test_dictionary_as_a_table(spark):
     row = book.filter("item = '678'").first()
     assert (row["label"], row["lo"], row["hi"], row["offset"], row["scale"]) == ("tempc", 70.0, 120.0, 32.0, 1.8)
     assert book.count() == len(items.codes(items.VITALS))
+
+
+def test_hashed_normal_draws(spark):
+    drawn = np.array([r["z"] for r in spark.range(4000).select(metrics.hashed_normal("id", 3).alias("z")).collect()])
+    again = np.array([r["z"] for r in spark.range(4000).repartition(5).select(metrics.hashed_normal("id", 3).alias("z")).collect()])
+    assert np.sort(drawn) == pytest.approx(np.sort(again))
+    assert abs(drawn.mean()) < 0.05 and abs(drawn.std() - 1) < 0.05 and 0.66 < (np.abs(drawn) < 1).mean() < 0.71
+    stays = spark.range(100).select(F.col("id"), (F.col("id") % 4).cast("double").alias("los"))
+    guessed = metrics.mean_guess(stays, "los", stays.where("id < 40"), noise=2.0, key="id").collect()
+    assert np.mean([r["guess"] for r in guessed]) == pytest.approx(1.5, abs=0.8) and len({r["guess"] for r in guessed}) == 100

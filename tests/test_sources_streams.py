@@ -151,6 +151,73 @@ def test_previous_reading_carries_state_over_batches(spark, tmp_path):
     assert got == {(7, 1.0): None, (7, 2.0): 1.0, (7, 3.0): None, (7, 4.0): 3.0, (8, 9.0): None, (8, 5.0): 9.0}
 
 
+def readings(spark, rows):
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, value double")
+    return frame.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", F.lit("{}").alias("props"))
+
+
+def test_windows_of_a_feed_in_any_order_with_late_and_repeated_batches(spark, tmp_path):
+    folder, keys = str(tmp_path / "feed"), ["user_id"]
+    hours = lambda: F.window("ts", "1 hour")
+    rows = [(i, i % 3, f"2024-01-{1 + i % 9:02d} {i % 24:02d}:{i % 60:02d}:00", "click", float(i)) for i in range(200)]
+    events = readings(spark, rows)
+    events.where("event_id >= 80").repartition(7, "event_id").write.parquet(folder)
+    sink = live.PartialWindows(str(tmp_path / "sink"), keys, "value", hours)
+    sink.take_in(live.feed(spark, folder))
+    first = sink.read(spark).count()
+    # Rows of all days come a second time round, long after the others.
+    events.where("event_id < 80").repartition(3, "event_id").write.mode("append").parquet(folder)
+    again = live.PartialWindows(str(tmp_path / "sink"), keys, "value", hours)
+    again.take_in(live.feed(spark, folder))
+    # A batch that is written again counts once.
+    done = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    again.write(done.where("event_id = 0"), 1000)
+    before = again.read(spark).agg(F.sum("n")).first()[0]
+    again.write(done.where("event_id = 0"), 1000)
+    assert again.read(spark).agg(F.sum("n")).first()[0] == before == 201
+    again.write(done.where("false"), 1000)
+    batch = done.groupBy("user_id", hours().alias("w")).agg(F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("n"))
+    want = sorted(map(tuple, batch.select("user_id", "w.start", "mean", "low", "high", "n").collect()))
+    assert sorted(map(tuple, again.read(spark).collect())) == want and first <= len(want)
+
+
+def test_a_feed_by_ranges_of_time_is_in_order(spark):
+    events = readings(spark, [(i, 1, f"2024-01-01 {i % 24:02d}:00:00", "click", 1.0) for i in range(48)])
+    folder = live.many_files(events, 4, "ts")
+    spans = spark.read.parquet(folder).groupBy(F.input_file_name()).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count(F.lit(1)).alias("n")).orderBy("a").collect()
+    spans = [r for r in spans if r["n"]]
+    assert sum(r["n"] for r in spans) == 48 and all(x["b"] < y["a"] for x, y in zip(spans, spans[1:], strict=False))
+    assert spark.read.parquet(live.many_files(events.where("false"), 2, "ts")).count() == 0
+
+
+def test_carry_forward_marks_late_readings_and_forgets_quiet_keys(spark, tmp_path):
+    folder, check, out = str(tmp_path / "feed"), str(tmp_path / "check"), str(tmp_path / "out")
+
+    def run(*rows):
+        readings(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        stream = live.carry_forward(live.feed(spark, folder, files=1), ("click", "view"))
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True)
+        live.with_rocks(spark, lambda: writer.start(out).awaitTermination())
+
+    def held():
+        state = spark.read.format("statestore").option("stateVarName", "held").load(check)
+        return {r["key"]["user_id"] for r in live.with_rocks(spark, lambda: state.select("key").collect())}
+
+    run((1, 7, "2024-01-01 00:00:00", "click", 1.0), (2, 7, "2024-01-01 01:00:00", "view", 2.0), (3, 8, "2024-01-01 01:00:00", "click", 5.0))
+    # An hour late, but before the watermark's two hours are over; and exactly six hours after the click.
+    run((4, 7, "2024-01-01 00:30:00", "click", 9.0), (5, 7, "2024-01-01 06:00:00", "click", 3.0), (6, 7, "2024-01-01 06:30:00", "view", 4.0))
+    assert held() == {7, 8}
+    # The watermark passes the end of both keys' memory.
+    run((7, 9, "2024-01-02 00:00:00", "click", 1.0))
+    run((8, 9, "2024-01-02 00:10:00", "view", 2.0))
+    assert held() == {9}
+    got = {r["event_id"]: (r["late"], r["click"], r["view"]) for r in spark.read.parquet(out).collect()}
+    assert got == {
+        1: (False, None, None), 2: (False, 1.0, None), 3: (False, None, None), 4: (True, None, None), 5: (False, None, 2.0),
+        6: (False, 3.0, 2.0), 7: (False, None, None), 8: (False, 1.0, None),
+    }
+
+
 def test_stable_frames_survive_in_the_shared_folder(spark):
     kept = ordered.stable(spark.range(10))
     assert spark.sparkContext.getCheckpointDir() is not None and kept.count() == 10
