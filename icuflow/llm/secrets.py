@@ -189,7 +189,7 @@ def scan(
     """Add `out`: an array of (start, end, kind), ordered by start, then by the order of the rules. Places are code
     points, the end exclusive. Within a kind matches are leftmost and do not overlap; kinds may.
 
-    A null or empty text has no secrets (an empty array). Rows that share an id or are repeated are each scanned.
+    A null or empty text has no secrets (an empty array); a null one becomes empty. Rows that share an id or are repeated are each scanned.
     An empty table gives an empty one. Other columns stay; one called `out` is replaced.
     """
     given = without(docs, [out])

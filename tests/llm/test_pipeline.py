@@ -104,3 +104,53 @@ def test_near_copies_of_shared_and_missing_ids(spark):
     assert got.columns == corpus_pipeline.COLUMNS
     left = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
     assert left == sorted([(1, " ".join(base)), (5, clean), (None, alone), (7, "same")], key=repr)
+
+
+PROSE = "The committee met on Tuesday to discuss the plan for the old harbour, and most of the members agreed with it. "
+SECRET = "password: abcdefgh12345678"
+ODD = [
+    (1, None), (2, ""), (2, ""), (3, " \n\n"), (4, PROSE * 4), (4, PROSE * 4), (None, PROSE * 4), (5, PROSE * 4 + "x"), (6, "é中\U0001f600\x00"),
+    (7, f"{SECRET}\nno secret"), (None, SECRET), (8, "\n".join(["one line that very many documents share, word for word"] * 3)),
+    *[(i, f"one line that very many documents share, word for word\nand a line of document {i}") for i in range(9, 16)],
+    (16, "word " * 200_000), (16, "another text of the same id"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd documents, with extra columns whose names stages and operators use for their own."""
+    rows = [(i, t, "en", "web", 0, "clash", 1) for i, t in ODD]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string, secrets int")
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_odd_documents_and_none(spark, odd, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, odd, SF)
+    last = name == corpus_pipeline.STAGES[-1][0]
+    assert last or got.columns == corpus_pipeline.COLUMNS
+    rows = got.collect()
+    ids = sorted((r["doc_id"] for r in rows), key=repr)
+    every = sorted((i for i, _ in ODD), key=repr)
+    if name == "quality classifier":
+        assert not {1, 2, 3} & set(ids) and len(ids) <= len(every)
+        # Copies meet one fate, whatever their ids.
+        assert ids.count(4) in (0, 2) and (None in ids) >= (4 in ids)
+    elif name == "line dedup":
+        assert ids == every and all(r["text"] is not None and r["n_chars"] == len(r["text"]) for r in rows)
+        left = {r["doc_id"]: r["text"] for r in rows}
+        assert left[9] == "and a line of document 9" and left[15].startswith("one line") and left[8] == "" and left[1] == ""
+    elif name == "minhash near-dedup":
+        texts = [r["text"] or "" for r in rows]
+        assert len(set(texts)) == len(texts) and ids.count(4) == 1 and 5 not in ids and ids.count(16) == 2
+        assert min(i for i, t in ODD if not t) in ids and 2 not in ids
+    elif name == "secret scan":
+        assert ids == every
+        left = {r["doc_id"]: r["text"] for r in rows}
+        assert left[7] == "[secret]\nno secret" and left[1] == left[2] == "" and left[16] is not None
+    else:
+        assert sorted({i for i in ids if i is not None}) == sorted({i for i, _ in ODD if i is not None})
+        assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1 and sum(r["length"] for r in rows if r["doc_id"] == 2) == 2
+        used = sorted((r["sequence_id"], r["offset"], r["length"]) for r in rows)
+        assert all(a[0] != b[0] or a[1] + a[2] == b[1] for a, b in zip(used, used[1:], strict=False))
+    assert stage(spark, odd.where("false"), SF).count() == 0
