@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: five stages, each one of the corpus operators.
 
 Each stage takes all that the one before it kept, is written as Parquet to the shared folder and read again by the next.
-All but the last return the columns of documents.
+All but the last return the columns of documents, other columns are dropped. Every stage takes rows without an id, rows
+that share one and repeated rows one by one unless it says otherwise, and gives an empty frame for an empty one.
 """
 
 from __future__ import annotations
@@ -22,30 +23,37 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels that are not held out, takes for good."""
+    """Documents that the classifier, fitted on the labels that are not held out, takes for good.
+
+    Null and empty texts have no terms: they score 0.5, below the threshold, and go. Without labels every text does.
+    """
     small_batches(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.classify(docs.select(COLUMNS), model).where("predicted = 1").select(COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the lines that others share."""
+    """Every document without the lines that others share. A null text becomes an empty one; no document is dropped."""
     return _measured(line_dedup.drop_shared_lines(docs.select(COLUMNS)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the smallest id; classes without an id keep one too."""
+    """One document of each near-duplicate class, the one with the smallest id; classes without an id keep one too.
+
+    Equal texts are one class, null and empty ones together; of repeated rows one stays, of rows that share an id those of
+    other classes.
+    """
     small_batches(spark)
     return minhash.firsts(docs.select(COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its secrets replaced by a mark."""
+    """Every document with its secrets replaced by a mark. A null text becomes an empty one."""
     return _measured(secrets.redact(secrets.scan(docs.select(COLUMNS))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document in sequences of 1024 tokens."""
+    """The pieces of every document in sequences of 1024 tokens. A null or empty text is the end id alone."""
     small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
