@@ -246,6 +246,21 @@ def test_licenses_across_and_inside_lines(spark):
     assert got[1][0]["line"] == 60 and got[1][0]["dice"] == 1
 
 
+def test_versions_of_a_licence_are_told_apart(spark):
+    general = "This program is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version."
+    texts = {
+        "GPL-2.0": general.format(";", "", ";", "2"),
+        "GPL-3.0": general.format(":", "", ",", "3"),
+        "LGPL-2.1": general.replace("program", "library").format(";", "Lesser ", ";", "2.1"),
+        "LGPL-3.0": general.replace("program", "library").format(":", "Lesser ", ",", "3"),
+        "AGPL-3.0": general.format(":", "Affero ", ",", "3"),
+    }
+    rows = [(name, f"# Some file\n\n{text}\n\nimport this and that, and go on for a while with other words\n") for name, text in texts.items()]
+    rows += [(f"GPL-{v}.0", f"This work is licensed under the GNU General Public License, version {v}.") for v in (2, 3)]
+    found = licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [(r["name"], {n["license"] for n in r["notices"]}) for r in found] == [(name, {name}) for name, _ in rows]
+
+
 def test_license_passages_are_the_windows_of_brute_force():
     own, draw = licenses.Templates(licenses.TEMPLATES, 0.8), random.Random(5)
     pool = [re.findall("[a-z0-9]+", t.lower()) for _, t in licenses.TEMPLATES]
