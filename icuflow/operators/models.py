@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from multiprocessing.pool import ThreadPool
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ from icuflow.operators.blocks import Blocks, counts
 from icuflow.operators.blocks import folds as fold_counts
 from icuflow.operators.prep import bootstrap, bootstrap_counts, hash_split
 from icuflow.operators.search import Cell
-from icuflow.session import stable
+from icuflow.session import shared_dir, stable
 
 
 def l2_logistic(n: int, c: float = 0.1, tol: float = 1e-3) -> LogisticRegression:
@@ -149,21 +150,71 @@ def split_mse(df: DataFrame, estimator: Estimator, key: str, fraction: float = 0
     return scored.agg(F.count(F.lit(1)).alias("n_test"), F.avg(gap * gap).alias("mse"))
 
 
+def _nodes(forest_model, spark) -> list[dict[str, np.ndarray]]:
+    """The trees of a fitted forest as arrays by node, read from its stored form: feature (-1 at a leaf), threshold, children,
+    class, and which categories go left. Trees times nodes of a tree: a bounded number."""
+    path = f"{shared_dir(spark).rstrip('/')}/forest-{uuid4().hex}"
+    forest_model.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    rows = data.select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
+    trees: dict[int, list] = {}
+    for r in rows:
+        trees.setdefault(r["treeID"], []).append(r)
+    out = []
+    for nodes in trees.values():
+        size = len(nodes)
+        made = {c: np.full(size, -1, dtype=np.int64) for c in ("feature", "left", "right", "class")}
+        made["threshold"] = np.full(size, np.inf)
+        most = max([n["split"]["numCategories"] for n in nodes if n["split"]["numCategories"] > 0], default=0)
+        # A category that a split does not know goes right.
+        made["goes"] = np.zeros((size, most + 1), dtype=bool)
+        made["nominal"] = np.zeros(size, dtype=bool)
+        for n in nodes:
+            k, split = n["id"], n["split"]
+            made["class"][k] = int(n["prediction"])
+            if n["leftChild"] < 0:
+                continue
+            made["feature"][k], made["left"][k], made["right"][k] = split["featureIndex"], n["leftChild"], n["rightChild"]
+            if split["numCategories"] < 0:
+                made["threshold"][k] = split["leftCategoriesOrThreshold"][0]
+            else:
+                made["nominal"][k] = True
+                made["goes"][k, [int(c) for c in split["leftCategoriesOrThreshold"]]] = True
+        out.append(made)
+    return out
+
+
+def _leaf_classes(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The class of the leaf that each row reaches."""
+    node = np.zeros(len(x), dtype=np.int64)
+    while True:
+        inner = np.flatnonzero(tree["feature"][node] >= 0)
+        if not len(inner):
+            return tree["class"][node]
+        at = node[inner]
+        value = x[inner, tree["feature"][at]]
+        most = tree["goes"].shape[1] - 1
+        known = tree["goes"][at, np.clip(np.nan_to_num(value), 0, most).astype(np.int64)] & (value <= most)
+        left = np.where(tree["nominal"][at], known, value <= tree["threshold"][at])
+        node[inner] = np.where(left, tree["left"][at], tree["right"][at])
+
+
 def majority_vote(forest_model, df: DataFrame, out: str = "vote") -> DataFrame:
-    """The class most trees of a fitted forest predict; equal votes go to the smaller class."""
-    names = []
-    voted = df
-    for i, tree in enumerate(forest_model.trees):
-        name = f"_tree_{i}"
-        single = tree.setPredictionCol(name).setProbabilityCol("").setRawPredictionCol("")
-        voted = single.transform(voted)
-        names.append(F.col(name))
-    votes = F.array(*names)
-    counted = F.transform(
-        F.sequence(F.lit(0), F.lit(forest_model.numClasses - 1)),
-        lambda c: F.struct(F.size(F.filter(votes, lambda v: v == c)).alias("n"), (-c).alias("c")),
-    )
-    return voted.select(*df.columns, (-F.array_max(counted)["c"]).cast("int").alias(out))
+    """The class most trees of a fitted forest predict; equal votes go to the smaller class. All trees are walked in one pass
+    over the rows."""
+    trees, classes = _nodes(forest_model, df.sparkSession), forest_model.numClasses
+
+    @F.pandas_udf("int")
+    def vote(values: pd.Series) -> pd.Series:
+        if not len(values):
+            return pd.Series([], dtype="int32")
+        x = np.stack(values.to_numpy()).astype("float64")
+        votes = np.zeros((len(x), classes), dtype=np.int64)
+        for tree in trees:
+            votes[np.arange(len(x)), _leaf_classes(tree, x)] += 1
+        return pd.Series(votes.argmax(axis=1).astype("int32"))
+
+    return df.withColumn(out, vote(vector_to_array(F.col("features"))))
 
 
 def cross_validate(

@@ -76,6 +76,20 @@ def test_majority_vote_counts_trees(blobs):
         assert r["vote"] == int(np.argmax(counts))
 
 
+def test_majority_vote_follows_categories(spark):
+    draw = np.random.default_rng(7)
+    rows = [(i, float(draw.integers(0, 5)), float(draw.normal()), float(draw.integers(0, 3))) for i in range(300)]
+    rows = [(i, a, b, c, float((a in (1, 3)) ^ (b > 0.3 * c))) for i, a, b, c in rows]
+    frame = spark.createDataFrame(rows, "id long, a double, b double, c double, label double")
+    fitted = models.prepared(["a", "b", "c"], models.forest(9), nominal=6).fit(frame)
+    scored = fitted.transform(frame).select("id", "features")
+    trees = fitted.stages[-1].trees
+    got = models.majority_vote(fitted.stages[-1], scored).collect()
+    for r in got[:80]:
+        votes = [int(t.predict(r["features"])) for t in trees]
+        assert r["vote"] == int(np.argmax([votes.count(0), votes.count(1)]))
+
+
 def test_pipeline_scales_and_imputes(spark):
     rows = [(i, float(i % 7) if i % 5 else None, 1000.0 * (i % 2) + i % 3, 1.0, float(i % 2)) for i in range(120)]
     frame = spark.createDataFrame(rows, "id long, a double, b double, flat double, label double")
