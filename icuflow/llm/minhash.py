@@ -279,7 +279,9 @@ def classes(
     Counted multisets of shingles are compared, and two documents are linked at `similarity` or more.
     """
     signed, named = _classed(docs, similarity, words, number, rows, text, doc_id)
-    return signed.join(named, "node").select(F.col("_id").alias(doc_id), "class_id")
+    # A text that very many rows share is broadcast to them.
+    found = looked_up(signed, written(named), "node", "copies", signed.count(), "inner")
+    return found.select(F.col("_id").alias(doc_id), "class_id")
 
 
 def firsts(
@@ -290,8 +292,8 @@ def firsts(
     signed, named = _classed(docs, similarity, words, number, rows, text, doc_id)
     key = ["_key", "node"]
     row = signed.withColumn("_key", F.coalesce("_id", F.lit(-(2**63)))).groupBy(*key, F.col("_id").isNull().alias("_none"))
-    row = row.agg(F.count(F.lit(1)).alias("_n")).join(named, "node")
-    best = row.groupBy("root").agg(F.min(F.struct("_none", *key, "_n")).alias("best"))
+    row = row.agg(F.count(F.lit(1)).alias("_n")).groupBy("node").agg(F.min(F.struct("_none", *key, "_n")).alias("best"))
+    best = row.join(named, "node").groupBy("root").agg(F.min("best").alias("best"))
     best = written(best.select("best._none", *[f"best.{c}" for c in key], "best._n"))
     own = docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))))
     own = own.withColumn("_none", F.col(doc_id).isNull()).withColumn("node", F.unhex(F.md5(text_of(text))))
@@ -309,7 +311,7 @@ def _classed(docs: DataFrame, similarity: float, words: int, number: int, rows:
         given.withColumn("_signed", _bands(words, number, rows)(F.col("_text"))).select("_id", "node", "_signed.*")
     )
     nodes = signed.groupBy("node").agg(
-        F.min("_id").alias("least"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
+        F.min("_id").alias("least"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")
     )
     member = nodes.select("node", "least", "weight", F.posexplode("bands").alias("band", "key"))
     shared = member.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -324,9 +326,9 @@ def _classed(docs: DataFrame, similarity: float, words: int, number: int, rows:
     sets = written(texts.select("node", _multisets(words)("_text").alias("set")).dropDuplicates(["node"]))
     root = _resolve(member, sets, similarity)
     classed = (
-        nodes.select("node", "least")
+        nodes.select("node", "least", "copies")
         .join(root, "node", "left")
-        .select("node", "least", F.coalesce("root", "node").alias("root"))
+        .select("node", "least", "copies", F.coalesce("root", "node").alias("root"))
     )
     smallest = classed.groupBy("root").agg(F.min("least").alias("class_id"))
-    return signed.select("_id", "node"), classed.join(smallest, "root").select("node", "root", "class_id")
+    return signed.select("_id", "node"), classed.join(smallest, "root").select("node", "root", "class_id", "copies")
