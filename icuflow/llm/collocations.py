@@ -405,6 +405,10 @@ def _looked_up(shards: DataFrame, least: int) -> DataFrame:
     keys = {lang: sorted(set(sorted(found)[MARKS - 1 :: MARKS])) for lang, found in every.items()}
     cut = shards.select("lang", "counts").mapInArrow(partial(_cut, keys), "lang string, range long, counts binary")
     unite = partial(_unite, keys, least)
+    # More partitions than ranges, so that few of them meet in a task.
+    ranges = sum(map(len, keys.values())) + shards.select("lang").distinct().count()
+    parts = max(2 * ranges, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = cut.repartition(parts, "lang", "range")
     return cut.groupBy("lang", "range").applyInArrow(lambda key, table: unite(key, table), FOUND)
 
 
@@ -459,10 +463,12 @@ def mine(
     )
     scored = both.select("lang", "phrase", "a", F.expr(_LOWEST).alias("cut")).select("lang", "phrase", "a", "cut.score", "cut.l", "cut.r")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    # The first of some parts of a language hold its first, so no task orders all phrases of a language.
-    part = F.pmod(F.xxhash64("phrase"), F.lit(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # The first of the parts of a language hold its first, so no task orders all phrases of a language: many parts, then four.
+    part = lambda n: F.pmod(F.xxhash64("phrase", F.lit(n)), F.lit(n))
     rank = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order)).cast("long")
-    some = scored.withColumn("part", part).withColumn("rank", rank("part")).where(F.col("rank") <= first)
+    some = scored
+    for n in (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4):
+        some = some.withColumn("part", part(n)).withColumn("rank", rank("part")).where(F.col("rank") <= first).drop("part", "rank")
     ranked = some.withColumn("rank", rank()).where(F.col("rank") <= first)
     words = shards.groupBy("lang").agg(F.sum("words").alias("n"))
     return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
