@@ -91,8 +91,8 @@ def label_scale(df: DataFrame, label: str = "label") -> tuple[int, float]:
     return int(row["n"]), float(row["s"] or 0.0)
 
 
-def prepared(columns: Sequence[str], estimator: Estimator, nominal: int = 0) -> Pipeline:
-    """Impute, assemble, drop constant features, scale, then the estimator.
+def prepared(columns: Sequence[str], estimator: Estimator | None, nominal: int = 0) -> Pipeline:
+    """Impute, assemble, drop constant features, scale, then the estimator, if one is given.
 
     Imputation and scaling are learnt on whatever the pipeline is fitted on. `nominal` > 0
     marks features with at most that many values as categories (for trees) instead of scaling.
@@ -110,7 +110,7 @@ def prepared(columns: Sequence[str], estimator: Estimator, nominal: int = 0) ->
     else:
         stages.append(VarianceThresholdSelector(featuresCol="assembled", outputCol="varying", varianceThreshold=0.0))
         stages.append(StandardScaler(inputCol="varying", outputCol="features", withMean=True, withStd=True))
-    return Pipeline(stages=[*stages, estimator])
+    return Pipeline(stages=[*stages, *([estimator] if estimator else [])])
 
 
 def scores(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -259,6 +259,25 @@ def cross_validate(
     return found
 
 
+def cross_validate_several(
+    df: DataFrame, preparation: Pipeline, estimators: Mapping[str, Estimator], folds: str, k: int, parallelism: int = 4
+) -> dict[str, list[float]]:
+    """For each named estimator its AUROC on every fold. The preparation is fitted once a fold, on the rows outside it, and
+    the prepared rows are stored for all estimators; `parallelism` folds submit their jobs at a time."""
+    evaluator = BinaryClassificationEvaluator(numBins=0)
+
+    def one_fold(i: int) -> dict[str, float]:
+        train = df.filter(F.col(folds) != i)
+        made = preparation.fit(train)
+        own = stable(made.transform(df).select(folds, "label", "features"))
+        parts = own.filter(F.col(folds) != i), own.filter(F.col(folds) == i)
+        return {name: float(evaluator.evaluate(e.copy().fit(parts[0]).transform(parts[1]))) for name, e in estimators.items()}
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(df.sparkSession)(one_fold), range(k))
+    return {name: [areas[name] for areas in found] for name in estimators}
+
+
 def best_fit(df: DataFrame, estimator: Estimator, found: Sequence[Mapping], larger_is_better: bool = True):
     """The estimator fitted on all rows with the parameters of the best grid cell."""
     best = (max if larger_is_better else min)(found, key=lambda r: r["mean"])

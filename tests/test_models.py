@@ -109,6 +109,17 @@ def test_cross_validation_and_grid(blobs):
     assert models.best_fit(folded, estimator, found).getRegParam() == best["params"]["regParam"]
 
 
+def test_several_models_are_validated_on_the_same_folds(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, float(draw.normal() + i % 2), None if i % 11 == 0 else float(draw.integers(0, 3)), float(i % 2), i % 3) for i in range(240)]
+    frame = stable(spark.createDataFrame(rows, "id long, a double, b double, label double, fold int"))
+    made = {"tree": models.entropy_tree(3), "logistic": models.l2_logistic(160)}
+    got = models.cross_validate_several(frame, models.prepared(["a", "b"], None, nominal=4), made, "fold", 3)
+    for name, estimator in made.items():
+        one = models.cross_validate(frame, models.prepared(["a", "b"], estimator, nominal=4), "fold", 3)
+        assert got[name] == pytest.approx(one[0]["folds"], abs=1e-9)
+
+
 def test_regression_and_ridge(spark):
     frame = models.as_vector(spark.range(100).select("id", F.array(F.col("id").cast("double")).alias("x"), (F.col("id") * 2 + 1).cast("double").alias("label")), "x")
     fitted = models.least_squares().fit(frame)
