@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -52,18 +53,48 @@ def _first_match(branches: Sequence[tuple[Column, Column]]) -> Column | None:
     return chosen
 
 
+def _place(item: Column, rules: Sequence[Rule]) -> Column:
+    """Item code -> place of its rule, as a look-up: branches for every rule, several times in one projection, are more code
+    than the JVM compiles."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for n, r in enumerate(rules) for i in r.items for x in (i, n)]), item)
+
+
+def _of(place: Column, values: Iterable, kind: str) -> Column:
+    """The value at a place of a list that may have gaps."""
+    return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), place)
+
+
+def _in_range(place: Column, value: Column, rules: Sequence[Rule]) -> Column:
+    """`Rule.valid` of the rule at a place; true without a rule. A closed end is an open one at the next number."""
+    lo = _of(place, [math.nextafter(r.lo, -math.inf) if r.lo is not None and r.lo_closed else r.lo for r in rules], "double")
+    hi = _of(place, [math.nextafter(r.hi, math.inf) if r.hi is not None and r.hi_closed else r.hi for r in rules], "double")
+    return (lo.isNull() | (value > lo)) & (hi.isNull() | (value < hi))
+
+
+def _once(rules: Sequence[Rule]) -> bool:
+    """No item stands in two rules."""
+    return len(codes(rules)) == len(set(codes(rules)))
+
+
 def fuse(item: Column, rules: Sequence[Rule]) -> Column:
     """Item code -> label; codes outside the dictionary give NULL."""
+    if _once(rules):
+        return _of(_place(item, rules), [r.label for r in rules], "string")
     return _first_match([(item.isin(*r.items), F.lit(r.label)) for r in rules])
 
 
 def valid_label(item: Column, value: Column, rules: Sequence[Rule]) -> Column:
     """Item code -> label if the value is in range, else NULL."""
+    if _once(rules):
+        place = _place(item, rules)
+        return F.when(_in_range(place, value, rules), _of(place, [r.label for r in rules], "string"))
     return _first_match([(item.isin(*r.items) & r.valid(value), F.lit(r.label)) for r in rules])
 
 
 def valid_value(item: Column, value: Column, rules: Sequence[Rule]) -> Column:
     """The value if it is in range for its item, else NULL; unlisted items pass."""
+    if _once(rules):
+        return F.when(~_in_range(_place(item, rules), value, rules), F.lit(None).cast("double")).otherwise(value)
     bad = [(item.isin(*r.items) & ~r.valid(value), F.lit(None).cast("double")) for r in rules]
     return _first_match(bad).otherwise(value)
 

@@ -8,6 +8,7 @@ both dialects read alike; they reach every item code, values in and out of range
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,24 @@ from icuflow.sources.io import Tables
 U, S, N = "l_partkey", "l_suppkey", "l_linenumber"
 
 
-def pick(codes: Sequence, place: str) -> str:
-    """The code at a place, by SQL that both dialects read."""
-    return f"CASE ({place}) % {len(codes)} " + " ".join(f"WHEN {i} THEN {code}" for i, code in enumerate(codes)) + " END"
+@dataclass(frozen=True)
+class Pick:
+    """The code at a place, counted round; none at a negative place."""
+
+    codes: Sequence[int]
+    place: str
+
+    def __str__(self) -> str:
+        """SQL that both dialects read."""
+        return f"CASE ({self.place}) % {len(self.codes)} " + " ".join(f"WHEN {i} THEN {code}" for i, code in enumerate(self.codes)) + " END"
+
+    def column(self) -> Column:
+        """The same as a look-up: as branches, the items of some rows are more code than the JVM compiles."""
+        return F.get(F.lit(list(self.codes)), F.expr(f"({self.place}) % {len(self.codes)}"))
+
+
+def pick(codes: Sequence, place: str) -> Pick:
+    return Pick(tuple(codes), place)
 
 
 _VITALS = items.codes(items.VITALS)
@@ -64,10 +80,12 @@ def _lines(t: Tables) -> DataFrame:
 def _exploded(lines: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str], kinds: Sequence[str], keys: Sequence[str]) -> DataFrame:
     made = []
     for item, minutes, *rest in rows:
-        values = [F.expr(item).cast("int").alias("itemid"), _later(minutes).alias("charttime")]
+        code = item.column() if isinstance(item, Pick) else F.expr(item)
+        values = [code.cast("int").alias("itemid"), F.expr(f"CAST({minutes} AS INT)").alias("minutes")]
         values += [F.expr(text).cast(kind).alias(name) for text, name, kind in zip(rest, names, kinds, strict=True)]
         made.append(F.struct(*values))
-    return lines.select(*keys, F.inline(F.array(*made)))
+    rows = lines.select(*keys, "intime", F.inline(F.array(*made)))
+    return rows.select(*keys, "itemid", _later("minutes").alias("charttime"), *names)
 
 
 def clinical(t: Tables) -> dict[str, DataFrame]:
