@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from icuflow.functions.scalar import shift
@@ -28,6 +28,7 @@ def carry_forward(
     full: int,
     memory: str = "6 hours",
     out: str = "score",
+    bounded: bool = False,
 ) -> DataFrame:
     """Score per (key, time) with missing components taken from the previous time.
 
@@ -35,14 +36,18 @@ def carry_forward(
     both sides takes its `normal` value. `tube` is the component whose value 0 means
     "cannot be assessed": the score is then `full`, as it is when the component is missing
     now and was 0 before; after such a row nothing is carried over.
-    Expects one row per key and time.
+    Expects one row per key and time. `bounded` says that the clock bounds the times of a key (those of a day): one window
+    by key then serves, which needs no shuffle where the rows already lie by key.
     """
 
     def previous_row(window: WindowSpec) -> dict:
         recent = F.lag(time).over(window) > shift(time, f"-{memory}")
         return {f"{p}_prev": F.when(recent, F.lag(p).over(window)) for p in normal}
 
-    with_previous = over_neighbours(df, [time], previous_row, by, before=1)
+    if bounded:
+        with_previous = df.withColumns(previous_row(Window.partitionBy(*by).orderBy(time)))
+    else:
+        with_previous = over_neighbours(df, [time], previous_row, by, before=1)
 
     def summed(sources):
         total = None

@@ -109,7 +109,9 @@ def gcs_first_day(stays: DataFrame, chart: DataFrame) -> DataFrame:
     Equal lowest scores: the earliest row. Stays without a score have NULLs.
     """
     parts = _gcs_components(stays, chart, clean=True)
-    scored = score.carry_forward(parts, ["icustay_id"], "charttime", items.GCS_NORMAL, "gcsverbal", items.GCS_FULL, out="mingcs")
+    scored = score.carry_forward(
+        parts, ["icustay_id"], "charttime", items.GCS_NORMAL, "gcsverbal", items.GCS_FULL, out="mingcs", bounded=True
+    )
     shown = {p: F.coalesce(p, f"{p}_prev") for p in items.GCS_NORMAL}
     flagged = scored.withColumn("endotrachflag", fn.flag(F.col("gcsverbal") == 0)).withColumns(shown)
     lowest = score.lowest(

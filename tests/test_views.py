@@ -472,3 +472,40 @@ def test_heart_rate_of_one_admission(stay, chart):
     rows = {r["timestamp"]: r for r in reports.heart_rate_series({"icustays": stay((1, 0), (2, 0)), "chartevents": events}, 1).collect()}
     assert set(rows) == {at(0), at(1)}
     assert (rows[at(1)]["hr"], rows[at(1)]["hr_1h"], rows[at(1)]["hr_median_6h"]) == (60.0, 90.0, 75.0)
+
+
+@pytest.mark.parametrize("rules", [items.VITALS, items.LABS, items.BLOOD_GAS, items.GCS])
+def test_item_look_ups_are_the_branches(spark, rules):
+    """Look-ups give what a branch for each rule gives, and are no branches."""
+    ends = sorted({float(e) for r in rules for e in (r.lo, r.hi) if e is not None} | {-1.0, 50.5})
+    values = [x for e in ends for x in (e, e - 1e-9, e + 1e-9)] + [float("nan"), None]
+    item, value = F.col("item"), F.col("value")
+    rows = spark.createDataFrame([(i,) for i in [*items.codes(rules), 1, None]], "item int").crossJoin(spark.createDataFrame([(v,) for v in values], "value double"))
+    first = items._first_match
+    branches = {
+        "fused": first([(item.isin(*r.items), F.lit(r.label)) for r in rules]),
+        "label": first([(item.isin(*r.items) & r.valid(value), F.lit(r.label)) for r in rules]),
+        "valid": first([(item.isin(*r.items) & ~r.valid(value), F.lit(None).cast("double")) for r in rules]).otherwise(value),
+    }
+    made = {"fused": items.fuse(item, rules), "label": items.valid_label(item, value, rules), "valid": items.valid_value(item, value, rules)}
+    both = rows.select("item", "value", *[made[n].eqNullSafe(branches[n]).alias(n) for n in made])
+    assert both.where("NOT (fused AND label AND valid)").count() == 0
+    plan = rows.select(made["fused"], made["label"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WHEN") <= 3 < 2 * len(rules)
+
+
+def test_clinical_items_are_looked_up(spark):
+    from icuflow.plans import clinic
+
+    rows = spark.createDataFrame([(-4,), (0,), (1,), (5,), (None,)], "l_partkey long")
+    code = clinic.pick([7, 8, 9], "l_partkey * 2")
+    got = rows.select(code.column().alias("a"), F.expr(str(code)).alias("b"), code.column()).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == [None, 7, 9, 8, None]
+
+
+def test_the_coma_score_needs_no_range_pieces(spark, stay, chart):
+    plan = views.gcs_first_day(stay((1, 0)), chart((1, 723, 1, 1.0)))._jdf.queryExecution().toString()
+    assert "Window" in plan and "_piece" not in plan and "rangepartitioning" not in plan
+    parts = spark.createDataFrame([(k, at(h), a, b) for k in (1, 2) for h, a, b in ((0, 0, None), (3, None, 2), (8, 1, None), (20, None, None))], "k int, t timestamp_ntz, a int, b int")
+    made = [score.carry_forward(parts, ["k"], "t", {"a": 5, "b": 6}, "a", 15, bounded=bounded) for bounded in (True, False)]
+    assert sorted(map(str, made[0].collect())) == sorted(map(str, made[1].select(made[0].columns).collect()))
