@@ -36,25 +36,24 @@ def _nearest_of(id_column: str, vector: str, label: str, k: int):
         points = np.stack(t[vector].to_numpy()).astype("float64")
         ids, tags = t[id_column].to_numpy(), t[label].to_numpy(dtype="float64")
         asked, qids = np.stack(q[vector].to_numpy()).astype("float64"), q[id_column].to_numpy()
+        norms, own_norms = (points**2).sum(axis=1), (asked**2).sum(axis=1)
         found = []
         for start in range(0, len(qids), _CHUNK):
-            part = asked[start : start + _CHUNK]
+            part, own = asked[start : start + _CHUNK], own_norms[start : start + _CHUNK, None]
+            # A matrix product tells which rows may be among the k nearest, up to its rounding; all that it leaves open
+            # (numbers that are not finite, too) are measured.
+            near = own + norms - 2 * (part @ points.T)
+            last = min(k, len(points)) - 1
+            bound = np.partition(near, last, axis=1)[:, last, None] + 1e-11 * (own + norms.max())
+            at, of = np.nonzero(~(near > bound))
             # Summed dimension by dimension, so a distance does not depend on the block shape.
-            gap = np.zeros((len(part), len(points)))
+            squared = np.zeros(len(at))
             for d in range(points.shape[1]):
-                gap += (part[:, d, None] - points[None, :, d]) ** 2
-            for row, squared in enumerate(gap):
-                best = np.lexsort((ids, squared))[:k]
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "qid": qids[start + row],
-                            "nid": ids[best],
-                            "squared": squared[best],
-                            "label": tags[best],
-                        }
-                    )
-                )
+                squared += (part[at, d] - points[of, d]) ** 2
+            order = np.lexsort((ids[of], squared, at))
+            at, of, squared = at[order], of[order], squared[order]
+            first = np.arange(len(at)) - np.searchsorted(at, at) < k
+            found.append(pd.DataFrame({"qid": qids[start + at[first]], "nid": ids[of[first]], "squared": squared[first], "label": tags[of[first]]}))
         return pd.concat(found, ignore_index=True)
 
     return cell

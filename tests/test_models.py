@@ -262,3 +262,24 @@ def test_split_areas_of_several_models(rings):
     got = {r["model"]: r for r in models.split_areas(rings, "v", "id", cells).collect()}
     assert got["linear"]["auroc"] < 0.75 < 0.97 < got["kernel"]["auroc"] and got["kernel"]["accuracy"] > 0.95
     assert got["linear"]["n_test"] == got["kernel"]["n_test"] > 80
+
+
+def test_few_rows_of_a_cell_are_measured(monkeypatch):
+    """A matrix product rules out most rows; ties and numbers that are not finite come as before."""
+    import pandas as pd
+
+    draw = np.random.default_rng(3)
+    points = draw.normal(size=(500, 8)) + 1000
+    points[100:110] = points[0]
+    points[499, 2] = np.nan
+    t = pd.DataFrame({"id": np.arange(500), "v": list(points), "label": 0.0})
+    q = pd.DataFrame({"id": [1000, 1001], "v": [points[0], points[7] + 1e-3]})
+    measured = []
+    sort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: measured.append(len(keys[0])) or sort(keys))
+    got = neighbours._nearest_of("id", "v", "label", 5)(q, t)
+    assert sum(measured) < 60
+    assert got[got["qid"] == 1000]["nid"].tolist() == [0, 100, 101, 102, 103]
+    assert got["squared"].tolist()[5] == sum((points[7, d] + 1e-3 - points[7, d]) ** 2 for d in range(8)) and got["nid"].tolist()[5] == 7
+    few = neighbours._nearest_of("id", "v", "label", 5)(q, t.tail(3))
+    assert few[few["qid"] == 1000]["nid"].tolist()[-1] == 499 and len(few) == 6
