@@ -143,6 +143,10 @@ def every_window(
 PARTS = {"sum": (F.sum, F.sum), "n": (F.count, F.sum), "low": (F.min, F.min), "high": (F.max, F.max)}
 
 
+#: Rows of a micro-batch that one task brings together.
+TASK_ROWS = 250_000
+
+
 class PartialWindows:
     """A sink of window results that no order of arrival can spoil.
 
@@ -156,6 +160,11 @@ class PartialWindows:
         self.folder, self.keys, self.value, self.window = folder, keys, value, window
 
     def write(self, batch: DataFrame, number: int) -> None:
+        # Rows may give as many windows as there are of them, and a task holds its own: it takes so many rows, however large
+        # the files are.
+        tasks = -(-batch.count() // TASK_ROWS)
+        if tasks > 1:
+            batch = batch.repartition(tasks, F.xxhash64(*batch.columns))
         made = [own(F.col(self.value)).alias(name) for name, (own, _) in PARTS.items()]
         parts = batch.groupBy(*self.keys, self.window().alias("window")).agg(*made)
         parts.select(*self.keys, F.col("window.start").alias("start"), *PARTS).write.mode("overwrite").parquet(f"{self.folder}/rows/batch={number}")

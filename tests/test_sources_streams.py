@@ -221,3 +221,17 @@ def test_carry_forward_marks_late_readings_and_forgets_quiet_keys(spark, tmp_pat
 def test_stable_frames_survive_in_the_shared_folder(spark):
     kept = ordered.stable(spark.range(10))
     assert spark.sparkContext.getCheckpointDir() is not None and kept.count() == 10
+
+
+def test_a_task_brings_together_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """A file of any size is dealt over tasks before its windows are made, and they stay the same."""
+    rows = spark.range(90, numPartitions=1).select("id", F.timestamp_seconds(F.col("id") * 900).alias("ts"), F.col("id").cast("double").alias("v"), (F.col("id") % 2).alias("k"))
+    dealt, deal = [], type(rows).repartition
+    monkeypatch.setattr(type(rows), "repartition", lambda self, n, *by: dealt.append(n) or deal(self, n, *by))
+    found = {}
+    for most in (1000, 20):
+        monkeypatch.setattr(live, "TASK_ROWS", most, raising=False)
+        sink = live.PartialWindows(str(tmp_path / str(most)), ["k"], "v", lambda: F.window("ts", "6 hours", "1 hour"))
+        sink.write(rows, 0)
+        found[most] = sorted(sink.read(spark).collect())
+    assert dealt == [5] and found[20] == found[1000]
