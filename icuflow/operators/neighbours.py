@@ -37,6 +37,7 @@ def _nearest_of(id_column: str, vector: str, label: str, k: int):
         ids, tags = t[id_column].to_numpy(), t[label].to_numpy(dtype="float64")
         asked, qids = np.stack(q[vector].to_numpy()).astype("float64"), q[id_column].to_numpy()
         norms, own_norms = (points**2).sum(axis=1), (asked**2).sum(axis=1)
+        largest = np.max(norms, where=np.isfinite(norms), initial=0.0)
         found = []
         for start in range(0, len(qids), _CHUNK):
             part, own = asked[start : start + _CHUNK], own_norms[start : start + _CHUNK, None]
@@ -44,7 +45,7 @@ def _nearest_of(id_column: str, vector: str, label: str, k: int):
             # (numbers that are not finite, too) are measured.
             near = own + norms - 2 * (part @ points.T)
             last = min(k, len(points)) - 1
-            bound = np.partition(near, last, axis=1)[:, last, None] + 1e-11 * (own + norms.max())
+            bound = np.partition(near, last, axis=1)[:, last, None] + 1e-11 * (own + largest)
             at, of = np.nonzero(~(near > bound))
             # Summed dimension by dimension, so a distance does not depend on the block shape.
             squared = np.zeros(len(at))
