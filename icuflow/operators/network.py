@@ -78,7 +78,7 @@ def fit(
     speed = np.zeros(len(net.flat()))
     for epoch in range(epochs):
         for step in range(steps):
-            rows = blocks.rows
+            rows = blocks.in_passes()
             if steps > 1:
                 rows = rows.where(F.pmod(F.xxhash64("block", F.lit(seed), F.lit(epoch)), F.lit(steps)) == step)
             partials = rows.mapInArrow(partial(partial_sums, partial(gradient, net)), "key long, value array<double>")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from icuflow.operators import blocks as blocks_module
 from icuflow.operators import metrics, network
 from icuflow.operators.blocks import Blocks, counts
 from icuflow.operators.search import Space
@@ -61,3 +62,23 @@ def test_hidden_units_tell_rings_apart(rings):
     assert net.losses[-1] < 0.5 * net.losses[0] and len(net.losses) > 40
     area = metrics.auroc(network.scored(blocks, net), "score", "label").first()
     assert area["auroc"] > 0.95 and area["n_pos"] + area["n_neg"] == 100
+
+
+def test_a_pass_starts_few_tasks_however_many_parts_are_stored(spark, rings, monkeypatch):
+    rows, few = rings
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(name, "48")
+    try:
+        frame = spark.createDataFrame(rows, "x array<double>, y double, i int").repartition(48)
+        train = F.col("i") % 3 > 0
+        blocks = Blocks(frame, "x", "y", (counts(train), counts(~train)))
+    finally:
+        spark.conf.set(name, before)
+    tasks, summed = [], blocks_module.summed
+    counted = lambda partials: tasks.append(partials.rdd.getNumPartitions()) or summed(partials)
+    monkeypatch.setattr(blocks_module, "summed", counted)
+    monkeypatch.setattr(network, "summed", counted)
+    net = network.fit(blocks, epochs=3)
+    assert len(tasks) > 3 and max(tasks) <= 4 * spark.sparkContext.defaultParallelism < blocks.rows.rdd.getNumPartitions()
+    # All rows take part in each pass.
+    assert net.flat() == pytest.approx(network.fit(few, epochs=3).flat(), abs=1e-9)
