@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import isfinite
 from uuid import uuid4
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -194,7 +195,8 @@ def many_files(events: DataFrame, files: int = 8, order: str | None = None) -> s
     step = 1 if low is None else (high - low) // files + 1
     for k in range(files):
         part = rows.where(F.floor((F.col("_at") - F.lit(low or 0)) / step) == k).drop("_at")
-        part.coalesce(1).write.mode("append").parquet(folder)
+        # All tasks read; one writes the file.
+        part.repartition(1).write.mode("append").parquet(folder)
     return folder
 
 
@@ -220,30 +222,43 @@ class CarryForward(StatefulProcessor):
         columns = ", ".join(f"at_{k} double, value_{k} double" for k in range(len(self.fields)))
         self.held = handle.getValueState("held", f"newest double, {columns}")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count = len(self.fields)
-        held = list(self.held.get()) if self.held.exists() else [float("-inf")] + [float("nan")] * 2 * count
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="stable", ignore_index=True)
-        at = batch["ts"].astype("int64") / {"ns": 1e9, "us": 1e6, "ms": 1e3, "s": 1}[batch["ts"].dt.unit]
-        late = at < held[0]
-        out = pd.DataFrame({"user_id": key[0], "event_id": batch["event_id"], "ts": batch["ts"], "late": late})
-        for k, name in enumerate(self.fields):
-            own = (batch["event_type"] == name) & ~late
-            seen = at.where(own).ffill().shift().fillna(held[1 + 2 * k])
-            value = batch["value"].where(own).ffill().shift().fillna(held[2 + 2 * k])
-            fresh = ~late & (at - seen < self.memory)
-            out[name] = value.where(fresh)
-            if own.any():
-                last = int(own.to_numpy().nonzero()[0][-1])
-                held[1 + 2 * k], held[2 + 2 * k] = float(at.iloc[last]), float(batch["value"].iloc[last])
-        held[0] = max(held[0], float(at.iloc[-1]))
-        self.held.update(tuple(held))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int((held[0] + self.memory) * 1000) + 1)
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def _end(self, newest: float) -> int:
+        """When a key's memory is over, in milliseconds."""
+        return int((newest + self.memory) * 1000) + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # Most keys have a few readings a batch: plain rows cost less than a frame for each key.
+        known = self.held.exists()
+        held = list(self.held.get()) if known else [float("-inf")] + [float("nan")] * 2 * len(self.fields)
+        batch = [(r["at"], r["event_id"], r["event_type"], r["value"]) for r in rows]
+        batch.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+        before, memory = _micros(held[0]), self.memory * 1e6
+        number = {name: k for k, name in enumerate(self.fields)}
+        seen, value = [_micros(x) for x in held[1::2]], [None if x != x else x for x in held[2::2]]
+        made = Row("user_id", "event_id", "at", "late", *self.fields)
+        out, newest = [], held[0]
+        for at, event, kind, own in batch:
+            # A reading without a time cannot be placed either.
+            late = at is None or (before is not None and at < before)
+            carried = [None if late or x is None or at - x >= memory else v for x, v in zip(seen, value, strict=True)]
+            out.append(made(key[0], event, at, late, *carried))
+            if late:
+                continue
+            newest = max(newest, at / 1e6)
+            if (k := number.get(kind)) is not None:
+                missing = own is None or own != own
+                seen[k], held[1 + 2 * k] = at, at / 1e6
+                value[k], held[2 + 2 * k] = (value[k], float("nan")) if missing else (own, own)
+        if newest > float("-inf"):
+            if known and newest > held[0]:
+                self.handle.deleteTimer(self._end(held[0]))
+            if not known or newest > held[0]:
+                self.handle.registerTimer(self._end(newest))
+            held[0] = newest
+            self.held.update(tuple(held))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.held.clear()
         return iter([])
 
@@ -251,19 +266,25 @@ class CarryForward(StatefulProcessor):
         pass
 
 
+def _micros(seconds: float) -> int | None:
+    """Seconds of the state as whole microseconds; nothing for those of no reading."""
+    return round(seconds * 1e6) if isfinite(seconds) else None
+
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def carry_forward(events: DataFrame, fields: tuple[str, ...], memory: float = 6 * 3600, late: str = "2 hours") -> DataFrame:
     """`CarryForward` on a stream of event_id, user_id, ts, event_type, value, behind a watermark that moves the timers."""
     columns = ", ".join(f"{name} double" for name in fields)
-    rows = events.select("user_id", "event_id", "ts", "event_type", "value").withWatermark("ts", late)
-    return rows.groupBy("user_id").transformWithStateInPandas(
+    rows = events.select("user_id", "event_id", "ts", F.unix_micros("ts").alias("at"), "event_type", "value").withWatermark("ts", late)
+    found = rows.groupBy("user_id").transformWithState(
         CarryForward(fields, memory),
-        outputStructType=f"user_id long, event_id long, ts timestamp, late boolean, {columns}",
+        outputStructType=f"user_id long, event_id long, at long, late boolean, {columns}",
         outputMode="Append",
         timeMode="EventTime",
     )
+    return found.select("user_id", "event_id", F.timestamp_micros("at").alias("ts"), "late", *fields)
 
 
 def with_rocks(spark: SparkSession, run: Callable[[], DataFrame]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Sources, sinks, stored views and streams."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -218,6 +219,56 @@ def test_carry_forward_marks_late_readings_and_forgets_quiet_keys(spark, tmp_pat
     }
 
 
+class OneKey:
+    """A handle for one key that notes what is asked of it."""
+
+    def __init__(self):
+        self.calls, self.state, self.timers = [], None, set()
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.calls.append("exists") or self.state is not None
+
+    def get(self):
+        return self.calls.append("get") or self.state
+
+    def update(self, state):
+        self.calls.append("update")
+        self.state = state
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.calls.append("delete")
+        self.timers.remove(at)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls.append("register")
+        self.timers.add(at)
+
+
+def test_carry_forward_takes_plain_rows_and_few_state_calls():
+    """A key costs a few state calls and no frames, as there are many keys; six hours are exact to the microsecond."""
+    handle, carry = OneKey(), live.CarryForward(("click", "view"), 21600.0)
+    carry.init(handle)
+    start, hours = 1_704_067_211_172_425, 21_600_000_000
+
+    def given(*rows):
+        handle.calls.clear()
+        out = carry.handleInputRows((7,), iter([Row(user_id=7, event_id=i, at=at, event_type=kind, value=v) for i, at, kind, v in rows]), None)
+        return [(r["event_id"], r["late"], r["click"], r["view"]) for r in out]
+
+    assert given((2, start + 5, "view", None), (1, start, "click", 1.0)) == [(1, False, None, None), (2, False, 1.0, None)]
+    assert handle.calls == ["exists", "register", "update"] and len(handle.timers) == 1
+    for k in range(1, 200):
+        # Older than the last reading, then a microsecond less than six hours after the click, then six hours after that one.
+        at = start + 2 * k * (hours - 1)
+        got = given((3, at - hours - 10, "view", 9.0), (4, at - hours + 1, "click", 4.0), (5, at, "view", 5.0), (6, at + 5, "click", 6.0), (7, at + hours + 5, "x", 0.0))
+        assert got[2] == (5, False, 4.0, None) and got[3][2] is None and got[4][2] is None
+        assert len(handle.calls) <= 5 and len(handle.timers) == 1
+        handle.state, handle.timers = None, set()
+
+
 def test_stable_frames_survive_in_the_shared_folder(spark):
     kept = ordered.stable(spark.range(10))
     assert spark.sparkContext.getCheckpointDir() is not None and kept.count() == 10
