@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
@@ -64,17 +64,22 @@ def latest_service(
     missing ones first: only the stays that saw the admission's last counted transfer keep a
     service, and any stay without a transfer hides the others' services.
     Equal transfer times give one row per service. No stay-transfer pairs are formed beyond
-    the rows returned.
+    the rows returned: an admission with one cut-off takes its last transfer by an aggregate,
+    stays of admissions with several go through an as-of join.
     """
     cut = stays.select("hadm_id", "icustay_id", fn.shift("intime", grace).alias("_cut"))
     rows = services.select("hadm_id", "transfertime", "curr_service").filter("transfertime IS NOT NULL")
-    moves = rows.distinct()
-    if per == "stay":
-        timed = latest_before(cut, rows, ["hadm_id"], "_cut", "transfertime", "_at")
-        named = moves.withColumnRenamed("transfertime", "_at")
-        return timed.join(named, ["hadm_id", "_at"], "left").select("hadm_id", "icustay_id", "curr_service")
-
     bounds = cut.groupBy("hadm_id").agg(F.min("_cut").alias("_first_cut"), F.max("_cut").alias("_last_cut"))
+    if per == "stay":
+        several = bounds.filter("_first_cut < _last_cut").select("hadm_id")
+        if several.isEmpty():
+            return _service_at_cut(cut, rows, bounds)
+        one = bounds.filter("_first_cut = _last_cut")
+        alone = cut.join(several, "hadm_id", "left_anti")
+        return _service_at_cut(alone, rows, one).unionByName(
+            _service_by_stay(cut.join(several, "hadm_id", "left_semi"), rows.join(several, "hadm_id", "left_semi"))
+        )
+    moves = rows.distinct()
     seen = (
         rows.join(bounds, "hadm_id")
         .filter(F.col("transfertime") < F.col("_last_cut"))
@@ -94,6 +99,26 @@ def latest_service(
     return without.unionByName(serving)
 
 
+def _service_at_cut(cut: DataFrame, rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Services of stays whose admission has one cut-off, `_last_cut` of its bounds."""
+    last = (
+        rows.join(bounds, "hadm_id")
+        .filter(F.col("transfertime") < F.col("_last_cut"))
+        .groupBy("hadm_id", "curr_service")
+        .agg(F.max("transfertime").alias("_at"), F.max("_last_cut").alias("_last_cut"))
+    )
+    # An admission has a row for each of its services here.
+    latest = last.withColumn("_latest", F.max("_at").over(Window.partitionBy("hadm_id"))).filter("_at = _latest").alias("l")
+    on = (F.col("c.hadm_id") == F.col("l.hadm_id")) & fn.within("_cut", "_last_cut", "_last_cut")
+    return cut.alias("c").join(latest, on, "left").select("c.hadm_id", "icustay_id", "curr_service")
+
+
+def _service_by_stay(cut: DataFrame, rows: DataFrame) -> DataFrame:
+    timed = latest_before(cut, rows, ["hadm_id"], "_cut", "transfertime", "_at")
+    named = rows.distinct().withColumnRenamed("transfertime", "_at")
+    return timed.join(named, ["hadm_id", "_at"], "left").select("hadm_id", "icustay_id", "curr_service")
+
+
 def with_exclusions(
     co: DataFrame,
     service: DataFrame,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from icuflow.functions import scalar as fn
 from icuflow.functions.scalar import hour_of, seconds_between
 from icuflow.operators.ordered import over_neighbours
 
@@ -41,31 +44,38 @@ def wide_rows(df: DataFrame, by: Sequence[str], label: str, value: str, labels:
     )
 
 
-def middle(values: Column) -> Column:
-    """Median of an array, ignoring nothing: the array is assumed free of NULLs."""
-    ordered = F.sort_array(values)
-    n = F.size(values)
-    low = F.element_at(ordered, ((n + 1) / 2).cast("int"))
-    high = F.element_at(ordered, (n / 2).cast("int") + 1)
-    return F.when(n > 0, (low + high) / 2)
+def _history(
+    values: Sequence[str], lags: Sequence[int], frame: int, stats: Sequence[str], exact: Sequence[str] = ()
+) -> tuple[Callable[[WindowSpec], dict[str, Column]], dict[str, Column]]:
+    """Window columns with earlier values, and what is made of them. Means of the `exact` (decimals) are windows of their own."""
+    reach = sorted({*lags, *(range(1, frame + 1) if stats else ())})
 
-
-def _history(values, lags, frame, stats):
     def make(window: WindowSpec) -> dict[str, Column]:
-        rows = window.rowsBetween(-frame, 0)
-        named = {}
-        for v in values:
-            named.update({f"{v}_{k}h": F.lag(v, k).over(window) for k in lags})
-            every = {
-                "mean": lambda v=v: F.avg(v).over(rows),
-                "min": lambda v=v: F.min(v).over(rows),
-                "max": lambda v=v: F.max(v).over(rows),
-                "median": lambda v=v: middle(F.collect_list(v).over(rows)),
-            }
-            named.update({f"{v}_{s}_{frame}h": every[s]() for s in stats})
-        return named
-
-    return make
+        earlier = {f"_{v}_{k}": F.lag(v, k).over(window) for v in values for k in reach}
+        return earlier | {f"_{v}_mean": F.avg(v).over(window.rowsBetween(-frame, 0)) for v in exact}
+
+    named = {}
+    for v in values:
+        named.update({f"{v}_{k}h": F.col(f"_{v}_{k}") for k in lags})
+        rows = [*[F.col(f"_{v}_{k}") for k in range(frame, 0, -1)], F.col(v)]
+        count = reduce(add, [r.isNotNull().cast("int") for r in rows])
+        # Missing values come first.
+        ordered = F.sort_array(F.array(*rows))
+        first = F.lit(len(rows)) - count
+        every = {
+            "mean": lambda v=v, rows=rows, count=count: (
+                F.col(f"_{v}_mean")
+                if v in exact
+                else F.try_divide(reduce(add, [F.coalesce(r.cast("double"), F.lit(0.0)) for r in rows], F.lit(0.0)), count)
+            ),
+            "min": lambda rows=rows: F.least(*rows) if len(rows) > 1 else rows[0],
+            "max": lambda rows=rows: F.greatest(*rows) if len(rows) > 1 else rows[0],
+            "median": lambda ordered=ordered, first=first, count=count: (
+                F.get(ordered, first + F.shiftright(count - 1, 1)) + F.get(ordered, first + F.shiftright(count, 1))
+            ) / 2,
+        }
+        named.update({f"{v}_{s}_{frame}h": every[s]() for s in stats})
+    return make, named
 
 
 def with_history(
@@ -85,10 +95,18 @@ def with_history(
     sort serves all columns. scope='global' runs over all stays in (stay, order) sequence, so
     the first rows of a stay see the previous stay's; it is cut into range pieces with a halo.
     """
-    make = _history(values, lags, frame, stats)
+    kinds = dict(df.dtypes)
+    exact = [v for v in values if kinds[v].startswith("decimal")] if "mean" in stats else []
+    make, named = _history(values, lags, frame, stats, exact)
+    if not named:
+        return df
     if scope == "stay":
-        return df.withColumns(make(Window.partitionBy(*stay).orderBy(*order)))
-    return over_neighbours(df, [*stay, *order], make, before=max([frame if stats else 0, *lags]))
+        rows = df.withColumns(make(Window.partitionBy(*stay).orderBy(*order)))
+    else:
+        rows = over_neighbours(df, [*stay, *order], make, before=max([frame if stats else 0, *lags]))
+    first, *rest = df.columns
+    kept = [fn.apart(first).alias(first), *rest]
+    return rows.select(*kept, *[c.alias(name) for name, c in named.items()])
 
 
 def elapsed_from_first(df: DataFrame, keys: Sequence[str], time: str, out: str = "elapsed_seconds") -> DataFrame:

@@ -18,19 +18,24 @@ def events_in_window(
     start: Column,
     end: Column,
     how: str = "inner",
+    agreeing: Sequence[str] = (),
 ) -> DataFrame:
     """Events of each stay inside its closed window, joined on the stay's own key.
 
     For event tables that carry the stay key: each event meets one stay, so the pair count
     never exceeds the event count. Spark broadcasts the stays if they are small and splits
     a hot stay's events otherwise (adaptive skew join).
+    `agreeing` names columns that must be equal too, but that `keys` settle but for a few rows: written as a range, they do
+    not deal the rows, so events that lie by key stay where they are.
     """
     s, e = stays.alias("s"), events.alias("e")
     on = within(F.col(f"e.{time}"), start, end)
     for key in keys:
         on = on & (F.col(f"s.{key}") == F.col(f"e.{key}"))
+    for c in agreeing:
+        on = on & within(F.col(f"e.{c}"), F.col(f"s.{c}"), F.col(f"s.{c}"))
     kept = [F.col(f"s.{c}") for c in stays.columns]
-    kept += [F.col(f"e.{c}") for c in events.columns if c not in keys]
+    kept += [F.col(f"e.{c}") for c in events.columns if c not in keys and c not in agreeing]
     return s.join(e, on, how).select(*kept)
 
 

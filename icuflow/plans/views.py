@@ -25,7 +25,7 @@ def _clean(events: DataFrame) -> DataFrame:
 def _chart_first_day(stays: DataFrame, chart: DataFrame, rules, columns: Sequence[str]) -> DataFrame:
     wanted = _clean(chart.filter(F.col("itemid").isin(*items.codes(rules)))).select(*STAY, "itemid", "charttime", *columns)
     return windows.events_in_window(
-        stays.select(*STAY, "intime"), wanted, STAY, "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day")
+        stays.select(*STAY, "intime"), wanted, STAY[2:], "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day"), agreeing=STAY[:2]
     )
 
 
@@ -131,7 +131,7 @@ def urine_output_first_day(stays: DataFrame, outputs: DataFrame) -> DataFrame:
     """Urine volume of the first day, irrigant counted negative; stays without any are absent."""
     wanted = outputs.filter(F.col("itemid").isin(*items.URINE_OUTPUT)).select(*STAY, "itemid", "charttime", "value")
     rows = windows.events_in_window(
-        stays.select(*STAY, "intime"), wanted, STAY, "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day")
+        stays.select(*STAY, "intime"), wanted, STAY[2:], "charttime", F.col("s.intime"), fn.shift("s.intime", "1 day"), agreeing=STAY[:2]
     )
     return pivot.signed_sum(rows, STAY, F.col("itemid") == items.URINE_IRRIGANT, "value", "urineoutput")
 
