@@ -4,11 +4,14 @@ import math
 import random
 import statistics
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from icuflow.functions import scalar as fn
-from icuflow.operators import cohort, series, windows
+from icuflow.operators import cohort, kernel_ridge, series, windows
+from icuflow.operators.kernels import gaussian
 from icuflow.plans import views
 from icuflow.plans.q_tables import rounded
 from tests.conftest import at
@@ -93,3 +96,47 @@ def test_one_cut_off_needs_no_ordered_pieces(shuffled, table, stay, monkeypatch)
     monkeypatch.setattr(cohort, "latest_before", never)
     services = table("services", {"hadm_id": 1, "transfertime": at(1), "curr_service": "MED"})
     assert [r["curr_service"] for r in cohort.latest_service(stay((1, 0)), services).collect()] == ["MED"]
+
+
+def blocks_of(z, v, size, **more):
+    rows = [{"block": b, "z": z[i : i + size].astype("<f8").tobytes(), "v": v[i : i + size].tolist(), **more} for b, i in enumerate(range(0, len(z), size))]
+    return rows
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_a_tile_holds_small_kernels(monkeypatch, alone):
+    draw = np.random.default_rng(2)
+    z, v = draw.normal(size=(50, 3)) * 4, draw.normal(size=50)
+    z[7] = z[30]
+    shapes, kernel = [], kernel_ridge._kernel
+
+    def seen(*sides):
+        found = kernel(*sides)
+        shapes.append(found.shape)
+        return found
+
+    monkeypatch.setattr(kernel_ridge, "_kernel", seen)
+    monkeypatch.setattr(kernel_ridge, "STEP", 7)
+    rows = [r | {"part": 0 if alone else r["block"] % 2, "gi": 0, "gj": 0 if alone else 1} for r in blocks_of(z, v, 11)]
+    found = [r for batch in kernel_ridge._square_tile(2.0, iter([pa.RecordBatch.from_pylist(rows)])) for r in batch.to_pylist()]
+    whole = gaussian(z, z, 2.0)
+    part = np.arange(50) // 11 % 2
+    want = whole @ v if alone else np.where(part[:, None] != part[None, :], whole, 0) @ v
+    assert sorted(r["block"] for r in found) == [0, 1, 2, 3, 4] and max(max(s) for s in shapes) == 7
+    assert all(r["q"] == pytest.approx(want[11 * r["block"] :][:11], abs=1e-12) for r in found)
+    # Of a part alone, half of the kernel.
+    assert sum(a * b for a, b in shapes) < (1800 if alone else 700)
+
+
+def test_a_tile_is_a_task(spark):
+    draw = np.random.default_rng(3)
+    z, v = draw.normal(size=(60, 2)), draw.normal(size=60)
+    rows = spark.createDataFrame([(r["block"], r["z"], r["v"], r["v"]) for r in blocks_of(z, v, 1)], "block long, z binary, v array<double>, y array<double>")
+    grid = kernel_ridge._grid(60, 2 * spark.sparkContext.defaultParallelism)
+    tiles = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(kernel_ridge, "_added", lambda found: tiles.append(found) or found)
+        kernel_ridge.square_product(rows, "v", 2.0)
+        kernel_ridge.product(rows, rows, "v", 2.0)
+    half = kernel_ridge._grid(60, spark.sparkContext.defaultParallelism)
+    assert [t.rdd.getNumPartitions() for t in tiles] == [grid * (grid + 1) // 2, half * half]
