@@ -47,11 +47,27 @@ def vitals_first_day(stays: DataFrame, chart: DataFrame) -> DataFrame:
 
 
 def _labs_around_admission(stays: DataFrame, labs: DataFrame) -> DataFrame:
-    """Lab rows from 6 h before to 1 day after admission; labs carry no stay id."""
+    """Lab rows from 6 h before to 1 day after admission; labs carry no stay id.
+
+    A lab row of an admission with one stay meets that stay alone; where stays share an admission, only rows near in time meet.
+    """
     borders = stays.select(
         *STAY, fn.shift("intime", "-6 hours").alias("_from"), fn.shift("intime", "1 day").alias("_to")
     )
-    return windows.range_join(borders, labs, ["subject_id", "hadm_id"], "charttime", "_from", "_to").drop("_from", "_to")
+    shared = stays.groupBy("hadm_id").count().filter("count > 1 AND hadm_id IS NOT NULL").select("hadm_id")
+
+    def near(of: DataFrame, rows: DataFrame) -> DataFrame:
+        return windows.range_join(of, rows, ["subject_id", "hadm_id"], "charttime", "_from", "_to")
+
+    def own(of: DataFrame) -> DataFrame:
+        return windows.events_in_window(of, labs, ["hadm_id"], "charttime", F.col("s._from"), F.col("s._to"), agreeing=["subject_id"])
+
+    if shared.isEmpty():
+        rows = own(borders)
+    else:
+        among = [x.join(shared, "hadm_id", "left_semi") for x in (borders, labs)]
+        rows = own(borders.join(shared, "hadm_id", "left_anti")).unionByName(near(*among))
+    return rows.drop("_from", "_to")
 
 
 def labs_first_day(stays: DataFrame, labs: DataFrame, rules=items.LABS) -> DataFrame:

@@ -140,3 +140,23 @@ def test_a_tile_is_a_task(spark):
         kernel_ridge.product(rows, rows, "v", 2.0)
     half = kernel_ridge._grid(60, spark.sparkContext.defaultParallelism)
     assert [t.rdd.getNumPartitions() for t in tiles] == [grid * (grid + 1) // 2, half * half]
+
+
+def labs_of(table, *rows):
+    return table("labevents", *[{"subject_id": s, "hadm_id": h, "itemid": 50912, "charttime": at(t), "valuenum": v} for s, h, t, v in rows])
+
+
+def test_labs_of_an_admission_with_one_stay_are_dealt_once(shuffled, table, stay):
+    found = views.labs_first_day(stay((1, 0), (2, 0)), labs_of(table, (1, 1, 1, 2.0)))
+    assert exchanges(found) == 4 and "_bucket" not in found._jdf.queryExecution().toString()
+
+
+def test_labs_of_shared_and_own_admissions(table, stay):
+    # Stays 2 and 3 share an admission, so do 4 and 5 of two subjects; 6 comes twice; 7 has no admission.
+    stays = stay((1, 0), (2, 0, 20, 20), (3, 48, 20, 20), (4, 0, 40, 50), (5, 0, 41, 50), (6, 0), (6, 0), (7, 0, 7, None))
+    rows = [(1, 1, -6, 1.0), (1, 1, 24, 2.0), (1, 1, 25, 9.0), (1, 1, -7, 8.0), (3, 1, 1, 7.0), (20, 20, 0, 1.5), (20, 20, 24, 2.5), (20, 20, 42, 3.5), (20, 20, 71, 4.5)]
+    rows += [(40, 50, 1, 3.0), (41, 50, 1, 4.0), (6, 6, 1, 5.0), (7, None, 1, 6.0)]
+    got = views.labs_first_day(stays, labs_of(table, *rows)).select("icustay_id", "creatinine_min", "creatinine_max").collect()
+    want = [(1, 1.0, 2.0), (2, 1.5, 2.5), (3, 3.5, 4.5), (4, 3.0, 3.0), (5, 4.0, 4.0), (6, 5.0, 5.0), (6, 5.0, 5.0), (7, None, None)]
+    assert sorted(map(tuple, got)) == want
+    assert "_bucket" in views._labs_around_admission(stays, labs_of(table, *rows))._jdf.queryExecution().toString()
